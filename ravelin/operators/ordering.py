@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ravelin.session import broadcast_if_small, checkpointed
 
 SKETCH_ACCURACY = 10_000
+BRACKET_FROM = 100_000
 
 
 def cumulated(df: DataFrame, order: Sequence[str], keys: Sequence[str], weight: Column, name: str) -> DataFrame:
@@ -42,11 +43,14 @@ def numbered(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name
     return cumulated(df, order, keys, F.lit(1).cast("bigint"), name)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], bracket_from: int = BRACKET_FROM
+) -> DataFrame:
     """Linearly interpolated quantiles `q0, q1, …` and the count `n` of non-null values per key.
 
     A sketch brackets every wanted rank; a counting pass fixes how many rows lie below each bracket,
-    and only the values inside a bracket, reduced to (value, count), are put in order.
+    and only the values inside a bracket, reduced to (value, count), are put in order. Keys with fewer
+    than `bracket_from` rows, where a bracket would be no wider than a few ranks, are ordered whole.
     """
     qs = list(qs)
     keys = list(keys) or ["_all"]
@@ -59,8 +63,9 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, qs: Sequence
             F.percentile_approx("_v", F.array(*[F.lit(b) for b in bounds]), SKETCH_ACCURACY).alias("_b"),
         )
     )
-    low = [F.col("_b")[i] for i in range(len(qs))]
-    high = [F.col("_b")[len(qs) + i] for i in range(len(qs))]
+    bounded = F.col("n") >= bracket_from
+    low = [F.when(bounded, F.col("_b")[i]).otherwise(F.lit(float("-inf"))) for i in range(len(qs))]
+    high = [F.when(bounded, F.col("_b")[len(qs) + i]).otherwise(F.lit(float("inf"))) for i in range(len(qs))]
     inside = F.lit(False)
     for lo, hi in zip(low, high):
         inside = inside | F.col("_v").between(lo, hi)
