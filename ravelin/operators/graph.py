@@ -15,7 +15,7 @@ from ravelin.operators.nearest import search
 from ravelin.session import checkpointed
 
 MENTIONS = "MENTIONS"
-NAME = r"([\p{L}\p{N}#_]+)"
+NAME = r"[\p{L}\p{N}#_]+"
 
 
 @dataclass(frozen=True)
@@ -30,12 +30,15 @@ def extract_triples(chunks: DataFrame, phrases: Mapping[str, str], max_per_chunk
     """Rule-based triples: `<name> <phrase> <name>`, the phrases tried in the given order, capped per chunk."""
     found = []
     for phrase, relation in phrases.items():
-        pattern = F.lit(f"{NAME} {phrase} {NAME}")
-        both = F.arrays_zip(
-            F.regexp_extract_all("text", pattern, F.lit(1)).alias("s"),
-            F.regexp_extract_all("text", pattern, F.lit(2)).alias("o"),
+        middle = f" {phrase} "
+        # A name holds no blank, so the matched text splits at the phrase into its two names.
+        matches = F.when(
+            F.contains("text", F.lit(middle)), F.regexp_extract_all("text", F.lit(f"{NAME}{middle}{NAME}"), F.lit(0))
+        ).otherwise(F.array().cast("array<string>"))
+        half = lambda m, n: F.split_part(m, F.lit(middle), F.lit(n))
+        found.append(
+            F.transform(matches, lambda m: F.struct(half(m, 1).alias("src"), F.lit(relation).alias("rel"), half(m, 2).alias("dst")))
         )
-        found.append(F.transform(both, lambda t: F.struct(t["s"].alias("src"), F.lit(relation).alias("rel"), t["o"].alias("dst"))))
     return chunks.select("chunk_id", F.inline(F.slice(F.concat(*found), 1, max_per_chunk)))
 
 
@@ -55,6 +58,7 @@ def extract_triples_with(
 
 
 def build_graph(triples: DataFrame, chunks: DataFrame) -> Graph:
+    triples = checkpointed(triples)  # the extractor runs once, whatever is derived from its triples
     ends = triples.select("chunk_id", F.explode(F.array("src", "dst")).alias("name"))
     relations = triples.select("src", "rel", "dst").distinct().withColumn("kind", F.lit("relation"))
     mentions = ends.distinct().select(

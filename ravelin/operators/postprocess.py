@@ -65,6 +65,7 @@ def bm25_rerank(hits: DataFrame, queries: DataFrame, corpus: DataFrame, top_n: i
     Document frequencies are counted only for the questions' terms; term frequencies only for pooled
     passages. `corpus` needs (chunk_id, text).
     """
+    hits = checkpointed(hits)  # read three times below; the search behind them runs once
     terms = checkpointed(
         queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
     )
