@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ravelin.operators.nearest import search
+from ravelin.operators.transforms import keyed_items
+from ravelin.session import checkpointed
 
 FULL_SCAN_ROWS = 10_000
 
@@ -70,11 +72,19 @@ def ann_topk(
     if index.rows < full_scan_rows:
         nprobe = index.cells
     near = search(queries, index.centres, min(nprobe, index.cells), "euclidean", item_id="cell", vec=vec, **layout)
-    probes = near.select("query_id", "cell").join(queries, "query_id")
+    probes = checkpointed(near.select("query_id", "cell")).join(queries, "query_id")
     items = index.items
     if index.by_tenant:
         probes = probes.withColumn("tenant_id", F.explode(F.array_distinct("tenants")))
         probes = probes.withColumn("_list", _list_key("tenant_id", "cell"))
-        items = items.withColumn("_list", _list_key("tenant_id", "cell"))
+        items = keyed_items(items, probes, "tenant_id").withColumn("_list", _list_key("tenant_id", "cell"))
         return search(probes, items, k, metric, key="_list", **options)
-    return search(probes, items, k, metric, key="cell", **options)
+    return search(probes, keyed_items(items, probes, "cell"), k, metric, key="cell", **options)
+
+
+def save_cells(index: CellIndex, path: str) -> CellIndex:
+    """Store the lists one directory per cell, so that a search reads only the cells it probes."""
+    spark = index.items.sparkSession
+    index.items.hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/lists")
+    index.centres.write.mode("overwrite").parquet(f"{path}/centres")
+    return replace(index, items=spark.read.parquet(f"{path}/lists"), centres=spark.read.parquet(f"{path}/centres"))

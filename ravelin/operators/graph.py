@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ravelin.functions.embedders import Embedder, embed
 from ravelin.functions.text import tokens
 from ravelin.operators.nearest import search
-from ravelin.session import checkpointed
+from ravelin.session import broadcast_if_small, checkpointed
 
 MENTIONS = "MENTIONS"
 NAME = r"[\p{L}\p{N}#_]+"
@@ -121,13 +121,15 @@ def walk(seeds: DataFrame, edges: DataFrame, depth: int = 2) -> DataFrame:
     reached = checkpointed(seeds.select("query_id", F.col("name").alias("at")).distinct())
     frontier, found = reached, None
     for hop in range(1, depth + 1):
-        step = checkpointed(frontier.join(touching, "at"))
+        step = checkpointed(broadcast_if_small(frontier).join(touching, "at"))
         rows = step.select("query_id", "src", "rel", "dst", F.lit(hop).alias("hop"))
         found = rows if found is None else found.unionByName(rows)
         if hop < depth:
             fresh = step.select("query_id", F.col("to").alias("at")).distinct()
-            frontier = checkpointed(fresh.join(reached, ["query_id", "at"], "left_anti"))
-            reached = reached.unionByName(frontier)
+            frontier = fresh.join(reached, ["query_id", "at"], "left_anti")
+            if hop + 1 < depth:
+                frontier = checkpointed(frontier)
+                reached = reached.unionByName(frontier)
     return found.groupBy("query_id", "src", "rel", "dst").agg(F.min("hop").alias("hop"))
 
 

@@ -36,7 +36,8 @@ def long_context_reorder(hits: DataFrame) -> DataFrame:
 
 def window_replace(hits: DataFrame, sentences: DataFrame) -> DataFrame:
     """Each hit's text becomes its stored window; a hit without one keeps its text."""
-    windows = sentences.select("chunk_id", "window")
+    wanted = broadcast_if_small(hits.select("chunk_id").distinct())
+    windows = sentences.select("chunk_id", "window").join(wanted, "chunk_id", "left_semi")
     return hits.join(windows, "chunk_id", "left").withColumn("text", F.coalesce("window", "text")).drop("window")
 
 
@@ -80,8 +81,8 @@ def bm25_rerank(hits: DataFrame, queries: DataFrame, corpus: DataFrame, top_n: i
         .agg(F.count("*").alias("df"))
     )
     idf = df.select("term", F.log(1 + (F.lit(docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    weighted = terms.join(idf, "term")
-    pooled = counted.join(hits.select("chunk_id").distinct(), "chunk_id", "left_semi")
+    weighted = terms.join(broadcast_if_small(idf), "term")
+    pooled = counted.join(broadcast_if_small(hits.select("chunk_id").distinct()), "chunk_id", "left_semi")
     tf = (
         pooled.select("chunk_id", F.size("_tokens").alias("length"), F.explode("_tokens").alias("term"))
         .groupBy("chunk_id", "length", "term")

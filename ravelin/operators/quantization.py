@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ravelin.functions import vectors
 from ravelin.operators.nearest import ranked, search, to_matrix
 from ravelin.operators.ordering import exact_quantiles
+from ravelin.session import broadcast_if_small
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -215,6 +216,6 @@ def rescored(
 ) -> DataFrame:
     asked = queries.select("query_id", F.col(vec).alias("_q"))
     floats = items.select(item_id, F.col(vec).alias("_v"))
-    pairs = wide.select("query_id", item_id).join(floats, item_id).join(asked, "query_id")
+    pairs = broadcast_if_small(wide.select("query_id", item_id)).join(floats, item_id).join(asked, "query_id")
     scored = pairs.withColumn("score", vectors.score(metric, F.col("_q"), F.col("_v"))).drop("_q", "_v")
     return ranked(scored, k, ["query_id"], item_id)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ravelin.functions import vectors
 from ravelin.functions.embedders import Embedder, embed
 from ravelin.operators.nearest import ranked, search
-from ravelin.operators.transforms import best_per, doc_summary
+from ravelin.operators.transforms import best_per, doc_summary, keyed_items, with_text
 from ravelin.session import checkpointed
 
 METRIC_LABELS = ("cosine", "dot_product", "euclidean")
@@ -21,7 +21,7 @@ def topk(
     queries: DataFrame,
     items: DataFrame,
     k: int = 3,
-    metric: str = "cosine",
+    metric: str | Sequence[str] = "cosine",
     *,
     exclude_self: bool = False,
     normalized: bool = False,
@@ -35,16 +35,12 @@ def topk(
         return hits
     # The best k+1 hold the best k others, so dropping the query itself loses nothing.
     others = hits.where(F.col("query_id") != F.col(item_id)).drop("rank")
-    return ranked(others, k, ["query_id"], item_id)
+    return ranked(others, k, ["query_id"] if isinstance(metric, str) else ["metric", "query_id"], item_id)
 
 
 def compare_metrics(queries: DataFrame, items: DataFrame, k: int = 3, **options) -> DataFrame:
-    """The same questions under every metric, labelled."""
-    parts = [topk(queries, items, k, m, **options).withColumn("metric", F.lit(m)) for m in METRIC_LABELS]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """The same questions under every metric, labelled, in one pass over the items."""
+    return topk(queries, items, k, METRIC_LABELS, **options)
 
 
 def rank_agreement(hits: DataFrame, baseline: str = "cosine", item_id: str = "chunk_id") -> DataFrame:
@@ -63,8 +59,7 @@ def rank_agreement(hits: DataFrame, baseline: str = "cosine", item_id: str = "ch
 def tenant_topk(queries: DataFrame, items: DataFrame, k: int = 3, metric: str = "cosine", **layout) -> DataFrame:
     """Top-k among the items of the query's own tenants (`tenants` array); no other row is ever scored."""
     probes = queries.select("query_id", "embedding", F.explode(F.array_distinct("tenants")).alias("tenant_id"))
-    reachable = items.join(probes.select("tenant_id").distinct(), "tenant_id", "left_semi")
-    return search(probes, reachable, k, metric, key="tenant_id", **layout)
+    return search(probes, keyed_items(items, probes, "tenant_id"), k, metric, key="tenant_id", **layout)
 
 
 def expand_queries(queries: DataFrame, variants: DataFrame, n: int = 4) -> DataFrame:
@@ -98,7 +93,7 @@ def recursive_topk(
     level1 = search(queries, summaries, k_doc, item_id="doc_id", **layout)
     chosen = checkpointed(level1.select("query_id", "doc_id"))
     probes = chosen.join(queries.select("query_id", "embedding"), "query_id")
-    inside = chunks.join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+    inside = keyed_items(chunks, chosen, "doc_id")
     return search(probes, inside, k_chunk, group=["query_id", "doc_id"], key="doc_id", **layout)
 
 
@@ -124,8 +119,7 @@ def retrieve(queries: DataFrame, items: DataFrame, steps: list[Callable[[DataFra
     """Top-k, texts attached, then the post-processing steps from left to right."""
     from ravelin.operators.postprocess import apply_chain
 
-    pool = topk(queries, items, k).join(items.select("chunk_id", "text"), "chunk_id")
-    return apply_chain(pool, steps)
+    return apply_chain(with_text(topk(queries, items, k), items), steps)
 
 
 def pair_scores(pairs: DataFrame, metric: str, a: Column, b: Column) -> DataFrame:

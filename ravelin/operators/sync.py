@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import Embedder, embed
 from ravelin.operators.retrieval import tenant_topk
-from ravelin.operators.transforms import row_to_document, sentence_chunks
+from ravelin.operators.transforms import row_to_document, sentence_chunks, with_text
+from ravelin.session import broadcast_if_small, checkpointed
 
 # The source row and the change envelope.
 ROW_DDL = "id bigint, tenant_id string, title string, body string, updated_at timestamp"
@@ -60,11 +61,12 @@ def apply_sync(
     chunker: Callable[[DataFrame, int, int], DataFrame] = sentence_chunks,
 ) -> DataFrame:
     """The vector table after the change: only new and changed documents are chunked and embedded."""
+    diff = checkpointed(diff)
     fresh_ids = diff.where(F.col("status").isin("new", "changed")).select("doc_id")
     # New ids are dropped too, so a run repeated after a crash between two writes cannot store a document twice.
     stale_ids = diff.where(F.col("status") != "unchanged").select("doc_id")
-    kept = stored.join(stale_ids, "doc_id", "left_anti")
-    delta = docs.select("doc_id", "tenant_id", "text").join(fresh_ids, "doc_id", "left_semi")
+    kept = stored.join(broadcast_if_small(stale_ids), "doc_id", "left_anti")
+    delta = docs.select("doc_id", "tenant_id", "text").join(broadcast_if_small(fresh_ids), "doc_id", "left_semi")
     added = embed(chunker(delta, size, overlap), embedder=embedder)
     columns = ["chunk_id", "doc_id", "tenant_id", "text", "embedding"]
     return kept.select(*columns).unionByName(added.select(*columns))
@@ -136,5 +138,5 @@ def retrieve_after_change(queries: DataFrame, events: DataFrame, embedder: Embed
     docs = row_to_document(fold_events(events))
     index = embed(docs.withColumnRenamed("doc_id", "chunk_id"), embedder=embedder)
     hits = tenant_topk(embed(queries, embedder=embedder), index, 1)
-    best = hits.join(docs.select(F.col("doc_id").alias("chunk_id"), "text"), "chunk_id")
+    best = with_text(hits, docs.select(F.col("doc_id").alias("chunk_id"), "text"))
     return queries.select("query_id").join(best.select("query_id", "chunk_id", "score", "text"), "query_id", "left")

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ravelin.functions import text as tx
 from ravelin.functions import vectors
 from ravelin.operators.ordering import numbered
+from ravelin.session import broadcast_if_small
+
+FILTER_KEYS = 500
 
 
 def _exploded(docs: DataFrame, pieces: Column) -> DataFrame:
@@ -85,9 +88,10 @@ def norm_report(df: DataFrame, vec: str = "embedding") -> DataFrame:
     return ranges.select(F.inline("r"))
 
 
-def row_to_document(rows: DataFrame) -> DataFrame:
+def row_to_document(rows: DataFrame, *carry: str | Column) -> DataFrame:
     """Source-table rows as documents; an absent title or body leaves no text out."""
     return rows.select(
+        *carry,
         F.concat(F.lit("pg-"), F.col("id").cast("string")).alias("doc_id"),
         F.concat_ws("\n\n", F.coalesce("title", F.lit("")), F.coalesce("body", F.lit(""))).alias("text"),
         "tenant_id",
@@ -103,8 +107,24 @@ def assemble_context(hits: DataFrame, order: str = "rank", separator: str = " ")
 
 
 def with_text(hits: DataFrame, texts: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """Attach texts to the survivors of a search; the search itself never carries them."""
-    return hits.join(texts.select(key, "text"), key)
+    """Attach texts to the survivors of a search; the search itself never carries them.
+
+    A bounded number of hits is sent to the texts, so the texts are scanned and not shuffled.
+    """
+    return broadcast_if_small(hits).join(texts.select(key, "text"), key)
+
+
+def keyed_items(items: DataFrame, probes: DataFrame, key: str) -> DataFrame:
+    """The items under any of the probes' keys.
+
+    A handful of keys becomes an IN filter, which prunes partitions and reaches the scan; more keys
+    become a semi join.
+    """
+    wanted = probes.select(key).where(F.col(key).isNotNull()).distinct()
+    few = [row[0] for row in wanted.limit(FILTER_KEYS + 1).collect()]
+    if len(few) <= FILTER_KEYS:
+        return items.where(F.col(key).isin(few)) if few else items.limit(0)
+    return items.join(broadcast_if_small(wanted), key, "left_semi")
 
 
 def replicate(docs: DataFrame, times: int) -> DataFrame:

@@ -185,7 +185,7 @@ def rescored_topk_product(spark, d):
 @plan("ann_topk")
 def ann_topk(spark, d):
     items = inputs.vectors(spark, d)
-    index = approximate.build_cells(items, 16)
+    index = approximate.save_cells(approximate.build_cells(items, 16), inputs.scratch(spark, "cells"))
     return shown(approximate.ann_topk(inputs.as_queries(items), index, K, nprobe=4, full_scan_rows=0))
 
 

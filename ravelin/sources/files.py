@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ravelin.session import broadcast_if_small
+
 DOCUMENT_SCHEMA = T.StructType(
     [
         T.StructField("doc_id", T.StringType()),
@@ -72,7 +74,7 @@ def _with_row_ids(rows: DataFrame) -> DataFrame:
     """
     marked = rows.withColumn("_at", F.monotonically_increasing_id())
     first = marked.groupBy("file_path").agg(F.min("_at").alias("_first"))
-    placed = marked.join(first, "file_path")
+    placed = marked.join(broadcast_if_small(first), "file_path")
     return placed.withColumn("doc_id", F.concat_ws("#", F.col("file_path"), (F.col("_at") - F.col("_first")).cast("string")))
 
 

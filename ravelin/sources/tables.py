@@ -12,6 +12,4 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Split a table that arrives in fewer pieces than there are cores; a large one is left where it lies."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    pieces = df.rdd.getNumPartitions() if len(files) < cores else len(files)
-    return df if pieces >= 4 * cores else df.repartition(2 * cores, *keys)
+    return df if df.rdd.getNumPartitions() >= 4 * cores else df.repartition(2 * cores, *keys)

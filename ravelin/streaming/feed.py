@@ -33,15 +33,12 @@ def file_source(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
 
 def log_batch(events: DataFrame, embedder: Embedder | None = None) -> DataFrame:
     """The batch's last event per row; rows that live on carry their document and vector."""
-    last = latest_events(events)
-    alive = last.where(F.col("op") != "d")
-    docs = row_to_document(alive.select("after.*", "seq"))
-    indexed = embed(docs, embedder=embedder).withColumn("id", F.expr("cast(substring(doc_id, 4) as bigint)"))
-    rows = alive.select("id", "seq", F.lit(False).alias("deleted")).join(
-        indexed.select("id", "doc_id", "tenant_id", "title", "text", "embedding"), "id"
-    )
-    gone = last.where(F.col("op") == "d").select("id", "seq", F.lit(True).alias("deleted"))
-    return rows.unionByName(gone, allowMissingColumns=True)
+    last = latest_events(events).withColumn("deleted", F.col("op") == "d")
+    fields = [F.col(f"after.{c}").alias(c) for c in ("tenant_id", "title", "body")]
+    docs = row_to_document(last.select("id", "seq", "deleted", *fields), "seq", "deleted", F.col("id").alias("_row"))
+    indexed = embed(docs, embedder=embedder)
+    alive = [F.when(~F.col("deleted"), F.col(c)).alias(c) for c in ("doc_id", "tenant_id", "title", "text", "embedding")]
+    return indexed.select(F.col("_row").alias("id"), "seq", "deleted", *alive)
 
 
 def stream_apply(stream: DataFrame, path: str, checkpoint: str, embedder: Embedder | None = None):
