@@ -69,7 +69,8 @@ def main() -> None:
         for name in ("ann_sweep", "ann_sweep_product")
         for r in plans.PLANS[name](spark, folder).collect()
     }
-    cells = {str(r["probes"]): r["recall"] for r in plans.PLANS["ann_sweep_cells"](spark, folder).collect()}
+    swept = plans.PLANS["ann_sweep_cells"](spark, folder).where("quantization = 'none'").collect()
+    cells = {str(r["probes"]): r["recall"] for r in sorted(swept, key=lambda r: r["probes"])}
     chunks, questions = ingest(spark, folder).count(), inputs.questions(spark, folder).count()
     print(
         json.dumps(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ravelin.operators.nearest import search
+from ravelin.operators.retrieval import tenant_topk
 from ravelin.operators.transforms import keyed_items
 from ravelin.session import checkpointed
 
@@ -69,11 +70,10 @@ def ann_topk(
     A per-tenant index takes queries with a `tenants` array and reads only those tenants' lists.
     """
     options = {"item_id": item_id, "vec": vec, **layout}
-    if index.rows < full_scan_rows:
-        nprobe = index.cells
-    near = search(queries, index.centres, min(nprobe, index.cells), "euclidean", item_id="cell", vec=vec, **layout)
-    probes = checkpointed(near.select("query_id", "cell")).join(queries, "query_id")
     items = index.items
+    if index.rows < full_scan_rows:
+        return (tenant_topk if index.by_tenant else search)(queries, items, k, metric, **options)
+    probes = probe_cells(queries, index, nprobe, vec=vec, **layout)
     if index.by_tenant:
         probes = probes.withColumn("tenant_id", F.explode(F.array_distinct("tenants")))
         probes = probes.withColumn("_list", _list_key("tenant_id", "cell"))
@@ -82,6 +82,12 @@ def ann_topk(
     return search(probes, keyed_items(items, probes, "cell"), k, metric, key="cell", **options)
 
 
+def probe_cells(queries: DataFrame, index: CellIndex, nprobe: int, *, vec: str = "embedding", **layout) -> DataFrame:
+    """Every query once per cell among its `nprobe` nearest (column `cell`)."""
+    near = search(queries, index.centres, min(nprobe, index.cells), "euclidean", item_id="cell", vec=vec, **layout)
+    return checkpointed(near.select("query_id", "cell")).join(queries, "query_id")
+
+
 def save_cells(index: CellIndex, path: str) -> CellIndex:
     """Store the lists one directory per cell, so that a search reads only the cells it probes."""
     spark = index.items.sparkSession

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ravelin.operators.approximate import CellIndex, probe_cells
 from ravelin.operators.ordering import exact_quantiles
 from ravelin.operators.quantization import Codes, rescored
 from ravelin.operators.transforms import assemble_context, best_per
@@ -36,26 +37,34 @@ def config_hits(
     kinds: Sequence[str] = ("none", "scalar", "binary"),
     oversamplings: Sequence[float] = (1.0, 2.0, 4.0),
     metric: str = "dot_product",
-    codes: dict[str, Codes] | None = None,
+    index: CellIndex | None = None,
+    probes: Sequence[int | None] = (None,),
 ) -> DataFrame:
-    """Hits of every (kind, rescore, oversampling): one code search per kind, every setting a prefix of it."""
+    """Hits of every (kind, rescore, oversampling, probes): one code search per kind and number of probed cells.
+
+    Every setting is a prefix of that search. `probes` None scans all codes; a number needs `index`.
+    """
     out = None
     for kind in kinds:
-        table = (codes or {}).get(kind) or Codes(kind, items)
-        widest = max(oversamplings) if kind != "none" else 1.0
-        wide = checkpointed(table.topk(queries, _wide(k, widest)))
+        carry = ["cell"] if index else []
+        table = Codes(kind, index.items if index else items, carry=carry)
         settings = [(False, None)] if kind == "none" else [(False, None)] + [(True, o) for o in oversamplings]
-        for rescore, oversampling in settings:
-            taken = wide.where(F.col("rank") <= (_wide(k, oversampling) if rescore else k))
-            hits = rescored(taken, queries, items, k, metric) if rescore else taken
-            rows = hits.select(
-                F.lit(kind).alias("quantization"),
-                F.lit(rescore).alias("rescore"),
-                F.lit(oversampling).cast("double").alias("oversampling"),
-                "query_id",
-                "chunk_id",
-            )
-            out = rows if out is None else out.unionByName(rows)
+        widest = _wide(k, max(oversamplings)) if kind != "none" else k
+        for cells in probes:
+            asked = queries if cells is None else probe_cells(queries, index, cells)
+            wide = checkpointed(table.topk(asked, widest, key=None if cells is None else "cell"))
+            for rescore, oversampling in settings:
+                taken = wide.where(F.col("rank") <= (_wide(k, oversampling) if rescore else k))
+                hits = rescored(taken, queries, items, k, metric) if rescore else taken
+                rows = hits.select(
+                    F.lit(kind).alias("quantization"),
+                    F.lit(rescore).alias("rescore"),
+                    F.lit(oversampling).cast("double").alias("oversampling"),
+                    F.lit(cells).cast("int").alias("probes"),
+                    "query_id",
+                    "chunk_id",
+                )
+                out = rows if out is None else out.unionByName(rows)
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -159,13 +159,18 @@ def compression_report(df: DataFrame, vec: str = "embedding") -> DataFrame:
 
 
 class Codes:
-    """A coded table with what it takes to score it: built once, searched many times."""
+    """A coded table with what it takes to score it: built once, searched many times.
 
-    def __init__(self, kind: str, items: DataFrame, *, item_id: str = "chunk_id", vec: str = "embedding", **training):
+    Columns named in `carry` stay beside the codes, such as the cell a search is keyed by.
+    """
+
+    def __init__(
+        self, kind: str, items: DataFrame, *, item_id: str = "chunk_id", vec: str = "embedding", carry: Sequence[str] = (), **training
+    ):
         if kind not in KINDS:
             raise ValueError(f"Unknown quantization kind {kind!r}; choose from {KINDS}")
         self.kind, self.item_id, self.vec = kind, item_id, vec
-        keep = items.select(item_id, vec)
+        keep = items.select(item_id, vec, *carry)
         if kind == "scalar":
             self.bounds = training.get("bounds") or scalar_bounds(items, training.get("quantile", 0.99), vec)
             self.table = scalar_quantize(keep, self.bounds, vec)
@@ -178,20 +183,20 @@ class Codes:
         else:
             self.table = keep.withColumnRenamed(vec, "code")
 
-    def topk(self, queries: DataFrame, k: int, **layout) -> DataFrame:
-        """Rank by the codes alone; product codes keep the query in floats."""
-        asked = queries.select("query_id", F.col(self.vec).alias("code"))
-        options = {"item_id": self.item_id, "vec": "code", **layout}
+    def topk(self, queries: DataFrame, k: int, key: str | None = None, **layout) -> DataFrame:
+        """Rank by the codes alone, within equal `key` where given; product codes keep the query in floats."""
+        queries = queries.select("query_id", *([key] if key else []), self.vec)
+        options = {"item_id": self.item_id, "vec": "code", "key": key, **layout}
         if self.kind == "scalar":
-            coded = scalar_quantize(queries.select("query_id", self.vec), self.bounds, self.vec)
+            coded = scalar_quantize(queries, self.bounds, self.vec)
             decode = scalar_decoder(*self.bounds)
             return search(coded, self.table, k, "dot_product", decode=decode, probe_decode=decode, **options)
         if self.kind == "binary":
-            coded = binary_quantize(queries.select("query_id", self.vec), self.vec)
+            coded = binary_quantize(queries, self.vec)
             decode = binary_decoder(self.dim)
             return search(coded, self.table, k, "hamming", decode=decode, probe_decode=decode, **options)
         decode = product_decoder(self.books) if self.kind == "product" else None
-        return search(asked, self.table, k, "dot_product", decode=decode, **options)
+        return search(queries.withColumnRenamed(self.vec, "code"), self.table, k, "dot_product", decode=decode, **options)
 
 
 def quantized_topk(

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravelin.session import checkpointed
+from ravelin.session import broadcast_if_small, checkpointed
 from ravelin.sources.files import any_case, is_missing
 
 # The extensions each kind of media accepts.
@@ -77,7 +77,9 @@ def extract_text(files: DataFrame, producer: Producer, kind: str, cache: DataFra
             out = batch.drop(columns=["content"]).assign(text=texts)
             yield out[out["text"].notna()]
 
-    missing = keyed.join(cache.select("key"), "key", "left_anti").select("key", "path", "name", "size", "mtime_us", "content")
+    # The unknown keys are found without the contents, which are then read for those files only.
+    unknown = broadcast_if_small(keyed.select("key").join(cache.select("key"), "key", "left_anti"))
+    missing = keyed.join(unknown, "key", "left_semi").select("key", "path", "name", "size", "mtime_us", "content")
     made = missing.mapInPandas(produce, "key string, path string, name string, size bigint, mtime_us bigint, text string")
     rows = found.withColumn("cached", F.lit(True)).unionByName(made.withColumn("cached", F.lit(False)))
     return rows.select(
