@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import functions as F
 
-from ravelin.functions.embedders import embed
 from ravelin.operators import transforms
 from ravelin.plans import inputs, plan
 from ravelin.plans.sql import DOC_INDEX, DOCS, SENTENCE_ROWS, SENTENCES, WORDS, windows

@@ -130,11 +130,6 @@ def compression_report(spark, d):
     return quantization.compression_report(inputs.vectors(spark, d))
 
 
-def self_topk(codes, items, k, **options):
-    hits = quantization.quantized_topk(inputs.as_queries(items), items, codes, k + 1, **options)
-    return retrieval.ranked(hits.where(F.col("query_id") != F.col("chunk_id")).drop("rank"), k, ["query_id"])
-
-
 @plan("quantized_topk_scalar", f"with {VECTORS}, {BOUNDS} {SHOWN} ({best_pairs('sq', METRIC_SQL['dot_product'], K)})")
 def quantized_topk_scalar(spark, d):
     items = inputs.vectors(spark, d)
