@@ -45,7 +45,7 @@ def run(df: DataFrame) -> None:
 
 
 def ingest(spark: SparkSession, folder: str) -> DataFrame:
-    """Chunk and embed the whole corpus, as the reference numbers for ingestion do."""
+    """Chunk and embed the whole corpus."""
     return embed(sentence_chunks(inputs.documents(spark, folder), 512, 50))
 
 
