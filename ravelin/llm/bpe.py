@@ -56,6 +56,7 @@ def _encode_shard(path: str):
                 words = batch.column(_WORDS)[row].as_py().split("\n")
                 new = [w for w in words if w not in ids]
                 if new:
+                    coder.forget()
                     coder.learn(new)
                     ids.update((w, coder.words[w]) for w in new)
                 found = [ids[w] for w in words]

@@ -15,13 +15,16 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 400_000
+#: Words, and pieces of words, that a Python worker remembers: about 250 MB.
+CACHE_WORDS = 800_000
 
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 # Printable ASCII and the letters of Latin-1: here lower-casing and composition are the same in every library.
 _PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z\xdf-\xf6\xf8-\xff0-9]+")
+_PLAIN_TEXT = re.compile("[\t-\r -~\xa0\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+_ALL_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\t-\r \xa0a-z\xdf-\xf6\xf8-\xff0-9]+")
 _JOINED = 512
 
 
@@ -61,37 +64,43 @@ class WordEncoder:
                 for part in some:
                     self.parts[part] = self._encode(part).tobytes()
 
+    def forget(self) -> None:
+        """Drop what goes beyond the bound."""
+        for known in (self.words, self.parts):
+            if len(known) > self.limit:
+                known.clear()
+
     def learn(self, words: Iterable[str]) -> None:
         """Encode the words not yet known."""
-        if len(self.words) > self.limit:
-            self.words.clear()
-        if len(self.parts) > self.limit:
-            self.parts.clear()
         plain, known, pieces = {}, self.parts, set()
         for word in words:
-            if "<|" not in word and _PLAIN.fullmatch(word):
+            if word.isascii() and word.isalpha():
+                plain[word] = found = (word.lower(),)
+            elif "<|" not in word and _PLAIN.fullmatch(word):
                 plain[word] = found = _PIECES.findall(word.lower())
-                pieces.update(p for p in found if p not in known)
             else:
                 self.words[word] = self._encode(word).tobytes()
-        self._learn_parts(list(pieces))
+                continue
+            pieces.update(found)
+        self._learn_parts([p for p in pieces if p not in known])
         for word, found in plain.items():
             self.words[word] = known[found[0]] if len(found) == 1 else b"".join([known[p] for p in found])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text."""
-        split_texts = [split(t) for t in texts]
-        distinct: set[str] = set()
-        for words in split_texts:
-            distinct.update(words)
-        if len(self.words) > self.limit:
-            self.words.clear()
-        known = self.words
-        missing = [w for w in distinct if w not in known]
-        if missing:
-            self.learn(missing)
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split_texts]
+        """The ids of every text: by pieces where the text is plain, by words elsewhere."""
+        self.forget()
+        plain = [_PLAIN_TEXT.fullmatch(t) is not None and "<|" not in t for t in texts]
+        units = [_ALL_PIECES.findall(t.lower()) if p else split(t) for t, p in zip(texts, plain, strict=True)]
+        tables = [self.parts.get if p else self.words.get for p in plain]
+        found = [list(map(known, some)) for known, some in zip(tables, units, strict=True)]
+        missing: tuple[set[str], set[str]] = set(), set()
+        for p, some, ids in zip(plain, units, found, strict=True):
+            if None in ids:
+                missing[p].update(u for u, x in zip(some, ids, strict=True) if x is None)
+        if missing[0]:
+            self.learn(missing[0])
+        self._learn_parts([u for u in missing[1] if u not in self.parts])
+        return [b"".join(map(known, some) if None in ids else ids) for known, some, ids in zip(tables, units, found, strict=True)]
 
 
 @lru_cache(maxsize=2)
