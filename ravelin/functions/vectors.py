@@ -47,7 +47,7 @@ def score(metric: str, a: Column, b: Column) -> Column:
     """Larger is better for every metric, so Euclidean is the negated distance."""
     forms = {"cosine": cosine, "dot_product": dot, "euclidean": lambda x, y: F.negative(distance(x, y))}
     if metric not in forms:
-        raise ValueError(f"Unknown metric {metric!r}; choose from {tuple(forms)}")
+        raise ValueError(f"no metric called {metric!r}: {tuple(forms)}")
     return F.round(forms[metric](a, b), SCORE_DIGITS)
 
 

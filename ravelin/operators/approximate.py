@@ -1,4 +1,4 @@
-"""Approximate top-k by cell probing (inverted lists), with a plain scan for small tables."""
+"""Approximate top-k by cell probing (inverted lists)."""
 
 from __future__ import annotations
 
@@ -14,8 +14,6 @@ from ravelin.operators.retrieval import tenant_topk
 from ravelin.operators.transforms import keyed_items
 from ravelin.session import checkpointed
 
-FULL_SCAN_ROWS = 10_000
-
 
 @dataclass(frozen=True)
 class CellIndex:
@@ -24,7 +22,6 @@ class CellIndex:
     items: DataFrame  # item id, embedding, cell (and tenant_id where lists are per tenant)
     centres: DataFrame  # cell, embedding
     cells: int
-    rows: int
     by_tenant: bool
 
 
@@ -46,7 +43,7 @@ def build_cells(
         [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], f"cell int, {vec} array<double>"
     )
     keep = [item_id, vec, "cell"] + (["tenant_id"] if by_tenant else [])
-    return CellIndex(assigned.select(*keep), centres, cells, items.count(), by_tenant)
+    return CellIndex(assigned.select(*keep), centres, cells, by_tenant)
 
 
 def _list_key(*columns: str):
@@ -60,18 +57,18 @@ def ann_topk(
     nprobe: int = 4,
     metric: str = "cosine",
     *,
-    full_scan_rows: int = FULL_SCAN_ROWS,
+    exact: bool = False,
     item_id: str = "chunk_id",
     vec: str = "embedding",
     **layout,
 ) -> DataFrame:
-    """Search the `nprobe` cells nearest each query; below `full_scan_rows` rows search everything.
+    """Search the `nprobe` cells nearest each query; with `exact` search every item.
 
     A per-tenant index takes queries with a `tenants` array and reads only those tenants' lists.
     """
     options = {"item_id": item_id, "vec": vec, **layout}
     items = index.items
-    if index.rows < full_scan_rows:
+    if exact:
         return (tenant_topk if index.by_tenant else search)(queries, items, k, metric, **options)
     probes = probe_cells(queries, index, nprobe, vec=vec, **layout)
     if index.by_tenant:

@@ -26,8 +26,8 @@ class Graph:
     sources: DataFrame  # chunk_id, src, rel, dst: the chunks each relation was read from
 
 
-def extract_triples(chunks: DataFrame, phrases: Mapping[str, str], max_per_chunk: int = 12) -> DataFrame:
-    """Rule-based triples: `<name> <phrase> <name>`, the phrases tried in the given order, capped per chunk."""
+def extract_triples(chunks: DataFrame, phrases: Mapping[str, str], max_per_chunk: int | None = 12) -> DataFrame:
+    """Rule-based triples: `<name> <phrase> <name>`, the phrases tried in the given order; capped per chunk unless None."""
     found = []
     for phrase, relation in phrases.items():
         middle = f" {phrase} "
@@ -39,7 +39,7 @@ def extract_triples(chunks: DataFrame, phrases: Mapping[str, str], max_per_chunk
         found.append(
             F.transform(matches, lambda m: F.struct(half(m, 1).alias("src"), F.lit(relation).alias("rel"), half(m, 2).alias("dst")))
         )
-    return chunks.select("chunk_id", F.inline(F.slice(F.concat(*found), 1, max_per_chunk)))
+    return chunks.select("chunk_id", F.inline(F.concat(*found) if max_per_chunk is None else F.slice(F.concat(*found), 1, max_per_chunk)))
 
 
 def extract_triples_with(
@@ -96,7 +96,8 @@ def vector_seeds(queries: DataFrame, entities: DataFrame, k: int = 4, **layout)
 
 def keyword_seeds(queries: DataFrame, entities: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
     """Entities whose name equals a word of the question, or a synonym of one, in any case."""
-    words = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("keyword"))
+    names = F.regexp_extract_all(F.lower("text"), F.lit(NAME), F.lit(0))  # names may hold signs that end a word
+    words = queries.select("query_id", F.explode(F.array_distinct(F.concat(tokens(F.col("text")), names))).alias("keyword"))
     if synonyms is not None:
         more = words.join(synonyms.select(F.lower("keyword").alias("keyword"), F.lower("synonym").alias("_s")), "keyword")
         words = words.unionByName(more.select("query_id", F.col("_s").alias("keyword"))).distinct()

@@ -46,7 +46,7 @@ def numbered(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (), name
 def exact_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, qs: Sequence[float], bracket_from: int = BRACKET_FROM
 ) -> DataFrame:
-    """Linearly interpolated quantiles `q0, q1, …` and the count `n` of non-null values per key.
+    """Linearly interpolated quantiles `q0, q1, …` and the count `n` of values per key; nulls and NaN are left out.
 
     A sketch brackets every wanted rank; a counting pass fixes how many rows lie below each bracket,
     and only the values inside a bracket, reduced to (value, count), are put in order. Keys with fewer
@@ -54,7 +54,7 @@ def exact_quantiles(
     """
     qs = list(qs)
     keys = list(keys) or ["_all"]
-    rows = df.withColumn("_all", F.lit(0)).select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    rows = df.withColumn("_all", F.lit(0)).select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     slack = 3.0 / SKETCH_ACCURACY
     bounds = [max(0.0, q - slack) for q in qs] + [min(1.0, q + slack) for q in qs]
     sketch = broadcast_if_small(

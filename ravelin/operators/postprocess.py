@@ -139,11 +139,11 @@ def compare_chains(pool: DataFrame, window_hits: DataFrame, sentences: DataFrame
     kept = checkpointed(apply_chain(pool, [as_cutoff(cutoff), as_rerank(reranker)]))
     by_rank = lambda df: df.withColumn("pos", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "chunk_id")))
     chains = {
-        "raw top-10": by_rank(pool),
-        f"similarity cutoff {cutoff}": by_rank(similarity_cutoff(pool, cutoff)),
-        "cutoff -> reranker top-3": by_rank(kept),
-        "cutoff -> reranker -> long-context reorder": long_context_reorder(kept),
-        "sentence-window: top-2 sentences -> windows": by_rank(window_replace(window_hits, sentences)),
+        "k=10": by_rank(pool),
+        f"cut={cutoff}": by_rank(similarity_cutoff(pool, cutoff)),
+        f"cut={cutoff} rescored k=3": by_rank(kept),
+        f"cut={cutoff} rescored k=3 ends first": long_context_reorder(kept),
+        "sentence windows k=2": by_rank(window_replace(window_hits, sentences)),
     }
     out = None
     for label, hits in chains.items():

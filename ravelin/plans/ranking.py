@@ -184,11 +184,11 @@ def apply_chain(spark, d):
 @plan(
     "compare_chains",
     f"""{CHAINED}, {SENTENCE_HITS},
-five as (select 'raw top-10' as chain, query_id, rank as pos, chunk_id, score, text from hits
-union all select 'similarity cutoff {CUTOFF}', query_id, row_number() over (partition by query_id order by score desc, chunk_id), chunk_id, score, text from hits where score >= {CUTOFF}
-union all select 'cutoff -> reranker top-3', query_id, rank, chunk_id, score, text from r
-union all select 'cutoff -> reranker -> long-context reorder', query_id, pos, chunk_id, score, text from ro
-union all select 'sentence-window: top-2 sentences -> windows', query_id, rank, wh.chunk_id, score, "window" from wh join sent using (chunk_id))
+five as (select 'k=10' as chain, query_id, rank as pos, chunk_id, score, text from hits
+union all select 'cut={CUTOFF}', query_id, row_number() over (partition by query_id order by score desc, chunk_id), chunk_id, score, text from hits where score >= {CUTOFF}
+union all select 'cut={CUTOFF} rescored k=3', query_id, rank, chunk_id, score, text from r
+union all select 'cut={CUTOFF} rescored k=3 ends first', query_id, pos, chunk_id, score, text from ro
+union all select 'sentence windows k=2', query_id, rank, wh.chunk_id, score, "window" from wh join sent using (chunk_id))
 select chain, query_id, pos, chunk_id, round(score, 6) as score, md5(text) as digest from five""",
 )
 def compare_chains(spark, d):

@@ -181,7 +181,7 @@ def rescored_topk_product(spark, d):
 def ann_topk(spark, d):
     items = inputs.vectors(spark, d)
     index = approximate.save_cells(approximate.build_cells(items, 16), inputs.scratch(spark, "cells"))
-    return shown(approximate.ann_topk(inputs.as_queries(items), index, K, nprobe=4, full_scan_rows=0))
+    return shown(approximate.ann_topk(inputs.as_queries(items), index, K, nprobe=4))
 
 
 @plan(
@@ -192,7 +192,7 @@ def ann_topk_all_cells(spark, d):
     """Below the size threshold the cell index answers like the exact search."""
     items = inputs.vectors(spark, d)
     index = approximate.build_cells(items, 16)
-    return shown(approximate.ann_topk(inputs.as_queries(items), index, K, nprobe=16, full_scan_rows=0))
+    return shown(approximate.ann_topk(inputs.as_queries(items), index, K, nprobe=16))
 
 
 STORED = "select vec_id as chunk_id, 't' || label as tenant_id, " + exact("list_sum(embedding::double[])", 6) + " as total from embeddings"

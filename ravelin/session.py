@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
     )
     if master:
@@ -28,16 +30,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (`spark.checkpoint.dir`); a local one only where none is set."""
+    """The cluster's shared folder (`spark.checkpoint.dir`); a local master without one gets a temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        require_local(context.master)
         context.setCheckpointDir(tempfile.mkdtemp(prefix="ravelin-checkpoint-"))
     return context.getCheckpointDir()
 
 
+def require_local(master: str) -> None:
+    """Executors of a cluster cannot see a folder of the driver's machine."""
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Run `df` once into the shared folder and go on from the stored rows."""
     spark = df.sparkSession

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,13 +89,32 @@ def _as_text(name: str, kind: T.DataType) -> Column:
     return value.cast("string")
 
 
-def load_json(spark: SparkSession, directory: str, schema: T.StructType | None = None, recursive: bool = False) -> DataFrame:
-    """One document per top-level array element (or per file holding one object): `key: value` lines."""
-    reader = (
-        spark.read.option("multiLine", "true")
-        .option("pathGlobFilter", "*.json")
+def rejected_json(spark: SparkSession, directory: str, recursive: bool = False, lines: bool = False) -> DataFrame:
+    """(file_path, raw): what `load_json` could not read as an object."""
+    try:
+        raw = _json_reader(spark, recursive, lines).schema("_corrupt_record string, _ string").json(directory)
+    except AnalysisException as error:
+        if is_missing(error):
+            return spark.createDataFrame([], "file_path string, raw string")
+        raise
+    return raw.select(decoded_path().alias("file_path"), F.coalesce("_corrupt_record", "_").alias("raw")).where("raw is not null")
+
+
+def _json_reader(spark: SparkSession, recursive: bool, lines: bool):
+    return (
+        spark.read.option("multiLine", str(not lines).lower())
+        .option("pathGlobFilter", "*.jsonl" if lines else "*.json")
         .option("recursiveFileLookup", str(recursive).lower())
     )
+
+
+def load_json(spark: SparkSession, directory: str, schema: T.StructType | None = None, recursive: bool = False, lines: bool = False) -> DataFrame:
+    """One document per top-level array element (or per file holding one object): `key: value` lines.
+
+    With `lines` the folder's .jsonl files are read, an object a line, split among tasks. What is no object gives no
+    document; `rejected_json` has it.
+    """
+    reader = _json_reader(spark, recursive, lines)
     try:
         raw = (reader.schema(schema) if schema else reader).json(directory)
     except AnalysisException as error:
@@ -101,6 +122,10 @@ def load_json(spark: SparkSession, directory: str, schema: T.StructType | None =
             return no_documents(spark)
         raise
     fields = [f for f in raw.schema.fields if f.name != "_corrupt_record"]
+    if not fields:
+        return no_documents(spark)
+    if len(fields) < len(raw.schema.fields):
+        raw = raw.where(reduce(or_, (F.col(f"`{f.name}`").isNotNull() for f in fields)))  # of a rejected text no field is read
     lines = [
         F.when(F.col(f"`{f.name}`").isNotNull(), F.concat(F.lit(f"{f.name}: "), _as_text(f.name, f.dataType))) for f in fields
     ]
@@ -111,25 +136,31 @@ def load_json(spark: SparkSession, directory: str, schema: T.StructType | None =
 
 
 def load_csv(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """One document per data row: its values joined by a comma and a blank, the header left out."""
+    """One document per data row: its values joined by a comma and a blank, the header left out.
+
+    Every file has a header of its own. All are read as wide as the widest, and each row is cut to its file's width; a
+    row longer than its header keeps the further values that fit.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", str(recursive).lower())
     try:
-        raw = (
-            spark.read.option("header", "true")
-            .option("multiLine", "true")
-            .option("escape", '"')
-            .option("pathGlobFilter", "*.csv")
-            .option("recursiveFileLookup", str(recursive).lower())
-            .csv(directory)
-        )
+        lines = reader.text(directory).select("value", decoded_path().alias("file_path"), F.monotonically_increasing_id().alias("_at"))
+        commas = F.regexp_replace(F.regexp_replace(F.col("value"), '"[^"]*"', ""), "[^,]", "")
+        heads = lines.where("value != ''").groupBy("file_path").agg(F.min_by(F.length(commas) + 1, "_at").alias("_width"))
+        widths = broadcast_if_small(heads)
     except AnalysisException as error:
         if is_missing(error):
             return no_documents(spark)
         raise
-    values = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in raw.columns]
-    rows = raw.select(
-        F.concat_ws(", ", *values).alias("text"), F.col("_metadata.file_name").alias("file_name"), decoded_path().alias("file_path")
-    )
-    return _documents(_with_row_ids(rows), "csv")
+    widest = widths.agg(F.max("_width")).first()[0]
+    if widest is None:
+        return no_documents(spark)
+    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(widest)])
+    raw = reader.schema(schema).option("header", "true").option("multiLine", "true").option("escape", '"').csv(directory)
+    rows = raw.select(F.array(*raw.columns).alias("_values"), F.col("_metadata.file_name").alias("file_name"), decoded_path().alias("file_path"))
+    rows = rows.join(widths, "file_path")
+    filled = F.array_max(F.transform("_values", lambda v, i: F.when(v.isNotNull(), i + 1).otherwise(0)))
+    values = F.transform(F.slice("_values", F.lit(1), F.greatest(F.col("_width"), filled)), lambda v: F.coalesce(v, F.lit("")))
+    return _documents(_with_row_ids(rows.select(F.array_join(values, ", ").alias("text"), "file_name", "file_path")), "csv")
 
 
 def load_tenant_tree(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
@@ -143,7 +174,7 @@ def load_tenant_tree(spark: SparkSession, root: str, recursive: bool = True) ->
             return spark.createDataFrame([], "doc_id string, tenant_id string, text string, file_name string")
         raise
     inner = raw.withColumn("_path", decoded_path()).withColumn(
-        "doc_id", F.expr(f"substring(_path, instr(_path, '{base}') + {len(base)})")
+        "doc_id", F.substr(F.col("_path"), F.instr("_path", base) + len(base))
     )
     depth = F.size(F.split("doc_id", "/"))
     kept = inner.where(depth >= 2 if recursive else depth == 2)

@@ -1,7 +1,8 @@
-"""Stored vector tables: `<path>/data` in parquet, one-row `<path>/meta` written last."""
+"""Stored vector tables: `<path>/data-<version>` in parquet; the one-row `<path>/meta`, written last, names the version."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -46,28 +47,37 @@ def write_vectors(
     multitenant: bool = False,
     recreate: bool = True,
     embedder: str = "",
+    id_column: str = "chunk_id",
 ) -> DataFrame:
-    """Store vectors and return them as read back. Without `recreate` an existing table of another dimension is an error."""
+    """Store vectors and return the whole table as read back.
+
+    Without `recreate` the rows are added to an existing table; where both have an `id_column` the given rows replace
+    those of the same id, and another dimension is an error. Every write goes to a folder of its own, and the table
+    changes when the description names it.
+    """
     spark = df.sparkSession
     meta = read_meta(spark, path)
     if meta is not None and not recreate:
         if meta["dim"] != dim:
-            raise ValueError(
-                f"Table '{path}' holds {meta['dim']}-dimensional vectors but the current embedder produces {dim}. "
-                "Vectors of different embedders are not comparable: recreate the table or use the embedder it was built with."
-            )
-        return read_vectors(spark, path)
-    rows = _checked(df, dim, normalized)
+            raise ValueError(f"{path} has {meta['dim']} dimensions, the given rows {dim}")
+        before = read_vectors(spark, path)
+        if id_column in df.columns and id_column in before.columns:
+            before = before.join(df.select(id_column).distinct(), id_column, "left_anti")
+        multitenant, normalized, embedder = meta["multitenant"], meta["metric"] == "dot_product", embedder or meta["embedder"]
+        rows = before.unionByName(_checked(df, dim, normalized), allowMissingColumns=True)
+    else:
+        rows = _checked(df, dim, normalized)
+    data = f"data-{uuid.uuid4().hex}"
     if multitenant:
         # REBALANCE gathers each tenant's rows and splits a tenant too large for one partition.
         writer = rows.hint("rebalance", "tenant_id").write.partitionBy("tenant_id")
     else:
         writer = rows.write
-    writer.mode("overwrite").parquet(f"{path}/data")
-    stored = spark.read.parquet(f"{path}/data")
-    description = (dim, "dot_product" if normalized else "cosine", embedder, multitenant, stored.count())
+    writer.parquet(f"{path}/{data}")
+    stored = spark.read.parquet(f"{path}/{data}")
+    description = (dim, "dot_product" if normalized else "cosine", embedder, multitenant, stored.count(), data)
     spark.createDataFrame(
-        [description], "dim int, metric string, embedder string, multitenant boolean, rows bigint"
+        [description], "dim int, metric string, embedder string, multitenant boolean, rows bigint, data string"
     ).coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
     return read_vectors(spark, path)
 
@@ -75,12 +85,12 @@ def write_vectors(
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     """The stored rows; tenant values stay strings whatever they look like."""
     meta = read_meta(spark, path)
-    reader = spark.read
-    if meta is not None and meta["multitenant"]:
-        inferred = reader.parquet(f"{path}/data").schema
+    reader, data = spark.read, f"{path}/{meta['data']}"
+    if meta["multitenant"]:
+        inferred = reader.parquet(data).schema
         fields = [f"`{f.name}` {'string' if f.name == 'tenant_id' else f.dataType.simpleString()}" for f in inferred.fields]
         reader = reader.schema(", ".join(fields))
-    return reader.parquet(f"{path}/data")
+    return reader.parquet(data)
 
 
 def open_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], dim: int, **options) -> DataFrame:

@@ -14,16 +14,21 @@ from ravelin.operators.sync import latest_events, parse_events
 from ravelin.operators.transforms import row_to_document
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str = "cdc.public.documents") -> DataFrame:
-    """The change topic from its beginning; the partition offset orders the events of one key."""
+def kafka_source(spark: SparkSession, servers: str, topic: str, per_trigger: int = 1_000_000) -> DataFrame:
+    """The change topic from its beginning, at most `per_trigger` events a batch.
+
+    Events of one key are ordered by broker time, then by partition offset, so a key that moves to another partition
+    keeps its order.
+    """
     raw = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", per_trigger)
         .load()
     )
-    return raw.select("value", F.col("offset").alias("seq"))
+    return raw.select("value", (F.unix_millis("timestamp") * 1_000_000 + F.col("offset") % 1_000_000).alias("seq"))
 
 
 def file_source(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:

@@ -9,16 +9,16 @@ from ravelin.streaming import feed
 from tests.conftest import rows
 
 
-def row(i, title, tenant="acme"):
+def row(i, title, tenant="north"):
     return {"id": i, "tenant_id": tenant, "title": title, "body": "b"}
 
 
 EVENTS = [
-    {"op": "r", "before": None, "after": row(1, "first")},
-    {"op": "c", "before": None, "after": row(2, "second", "globex")},
-    {"op": "u", "before": row(1, "first"), "after": row(1, "first, revised")},
-    {"op": "d", "before": row(2, "second", "globex"), "after": None},
-    {"op": "d", "before": row(2, "second", "globex"), "after": None},
+    {"op": "r", "before": None, "after": row(1, "harbour plan")},
+    {"op": "c", "before": None, "after": row(2, "crane log", "south")},
+    {"op": "u", "before": row(1, "harbour plan"), "after": row(1, "harbour plan, draft 2")},
+    {"op": "d", "before": row(2, "crane log", "south"), "after": None},
+    {"op": "d", "before": row(2, "crane log", "south"), "after": None},
     {"op": "x", "before": None, "after": row(3, "odd")},
 ]
 
@@ -34,9 +34,9 @@ def alive(spark, n):
 
 
 def test_fold_step_by_step(spark):
-    assert alive(spark, 2) == [(1, "first"), (2, "second")]
-    assert alive(spark, 3) == [(1, "first, revised"), (2, "second")]
-    assert alive(spark, 4) == alive(spark, 5) == [(1, "first, revised")]
+    assert alive(spark, 2) == [(1, "harbour plan"), (2, "crane log")]
+    assert alive(spark, 3) == [(1, "harbour plan, draft 2"), (2, "crane log")]
+    assert alive(spark, 4) == alive(spark, 5) == [(1, "harbour plan, draft 2")]
 
 
 def test_replay_changes_nothing_and_tombstones_are_skipped(spark):
@@ -49,12 +49,12 @@ def test_replay_changes_nothing_and_tombstones_are_skipped(spark):
 def test_change_lines(spark):
     lines = [r[1] for r in rows(sync.change_log(sync.parse_events(raw(spark, EVENTS))), "seq")]
     assert lines == [
-        "SNAPSHOT doc 1 (acme): first",
-        "INSERT   doc 2 (globex): second",
-        "UPDATE   doc 1 (acme): first, revised",
-        "DELETE   doc 2 (globex)",
-        "DELETE   doc 2 (globex)",
-        "x        doc 3 (acme): odd",
+        "SNAPSHOT doc 1 (north): harbour plan",
+        "INSERT   doc 2 (south): crane log",
+        "UPDATE   doc 1 (north): harbour plan, draft 2",
+        "DELETE   doc 2 (south)",
+        "DELETE   doc 2 (south)",
+        "x        doc 3 (north): odd",
     ]
 
 
@@ -64,7 +64,7 @@ def docs(spark, *pairs):
 
 
 def test_sync_scenario(spark):
-    a, g = ("acme/a.txt", "alpha document about anvils"), ("globex/g.txt", "globex document about analytics")
+    a, g = ("north/p.txt", "pier seven is dredged in May"), ("south/q.txt", "two cranes wait for spares")
     none = docs(spark, a).limit(0)
     stored = embed(sentence_chunks(none.select("doc_id", "tenant_id", "text"), 512, 50))
     steps = [(docs(spark, a, g), none), (docs(spark, a, g), docs(spark, a, g)), (docs(spark, (a[0], "changed"), g), docs(spark, a, g)), (docs(spark, (a[0], "changed")), docs(spark, (a[0], "changed"), g))]
@@ -74,10 +74,10 @@ def test_sync_scenario(spark):
         stored = spark.createDataFrame(sync.apply_sync(stored, now, diff).collect(), stored.select("chunk_id", "doc_id", "tenant_id", "text", "embedding").schema)
         report = [(s, i) for s, _, i in rows(sync.sync_report(diff))]
         seen.append((report, dict(rows(sync.point_counts(stored)))))
-    assert seen[0] == ([("new", a[0]), ("new", g[0])], {None: 2, "acme": 1, "globex": 1})
-    assert seen[1] == ([("unchanged", None)], {None: 2, "acme": 1, "globex": 1})
-    assert seen[2] == ([("changed", a[0]), ("unchanged", None)], {None: 2, "acme": 1, "globex": 1})
-    assert seen[3] == ([("deleted", g[0]), ("unchanged", None)], {None: 1, "acme": 1})
+    assert seen[0] == ([("new", a[0]), ("new", g[0])], {None: 2, "north": 1, "south": 1})
+    assert seen[1] == ([("unchanged", None)], {None: 2, "north": 1, "south": 1})
+    assert seen[2] == ([("changed", a[0]), ("unchanged", None)], {None: 2, "north": 1, "south": 1})
+    assert seen[3] == ([("deleted", g[0]), ("unchanged", None)], {None: 1, "north": 1})
     again = sync.apply_sync(stored, steps[3][0], sync.diff_snapshot(*steps[3]))
     assert rows(again.select("chunk_id")) == rows(stored.select("chunk_id"))
 
@@ -88,7 +88,7 @@ def test_swapped_texts_are_changes(spark):
 
 
 def test_snapshot_round_trip(spark):
-    table = spark.createDataFrame([(1, "acme", "t", "b")], "id bigint, tenant_id string, title string, body string")
+    table = spark.createDataFrame([(1, "north", "t", "b")], "id bigint, tenant_id string, title string, body string")
     events = sync.parse_events(sync.snapshot_to_events(table)).withColumn("seq", F.lit(0))
     assert rows(events.select("op", "before", "after.id")) == [("r", None, 1)]
     assert rows(sync.fold_events(events).select("id", "title")) == [(1, "t")]
@@ -113,6 +113,6 @@ def test_stream_equals_fold_and_a_replayed_batch_is_harmless(spark, tmp_path):
 
 
 def test_retrieval_follows_the_change(spark):
-    asked = spark.createDataFrame([("a", "revised first", ["acme"]), ("g", "second", ["globex"])], "query_id string, text string, tenants array<string>")
+    asked = spark.createDataFrame([("a", "revised first", ["north"]), ("g", "crane log", ["south"])], "query_id string, text string, tenants array<string>")
     got = rows(sync.retrieve_after_change(asked, sync.parse_events(raw(spark, EVENTS[:5]))).select("query_id", "chunk_id", "text"), "query_id")
-    assert got == [("a", "pg-1", "first, revised\n\nb"), ("g", None, None)]
+    assert got == [("a", "pg-1", "harbour plan, draft 2\n\nb"), ("g", None, None)]

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -125,3 +127,14 @@ def test_claims(spark):
     got = rows(tenancy.claims_to_scope(df, "i", "a", F.lit(50)).select("n", "username", "tenants", "rejected"), "n")
     assert [g[3] for g in got] == [None, "wrong issuer", "wrong audience", "expired", "belongs to no tenant", None, None]
     assert got[0][1:3] == ("alice", ["acme"]) and got[1][2] is None and got[5][1] == "?"
+
+
+def test_claims_that_cannot_be_read_are_rejected(spark):
+    from ravelin.operators.tenancy import claims_to_scope
+
+    base = {"iss": "i", "aud": "a", "preferred_username": "u", "groups": ["g", " "]}
+    cases = [{}, {"exp": 2000}, {"exp": 1.5}, {"exp": "2000"}, {"nbf": 1500}, {"iat": 5000}, {"groups": [""]}, {"exp": 1e9}]
+    claims = spark.createDataFrame([(i, json.dumps(base | c)) for i, c in enumerate(cases)], "n int, claims string")
+    got = rows(claims_to_scope(claims, "i", "a", F.lit(1000)).select("n", "tenants", "rejected"), "n")
+    assert [g[2] for g in got] == [None, None, "expired", "unreadable time", "not valid yet", "not valid yet", "belongs to no tenant", None]
+    assert got[0][1] == ["g"]

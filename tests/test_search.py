@@ -100,9 +100,9 @@ def test_probing_every_cell_is_exact_and_fewer_cells_recall_less(spark):
     queries = inputs.as_queries(items)
     index = approximate.build_cells(items, 16)
     exact = retrieval.topk(queries, items, 10)
-    every = approximate.ann_topk(queries, index, 10, 16, full_scan_rows=0)
+    every = approximate.ann_topk(queries, index, 10, 16)
     assert table(every) == table(exact)
-    four = approximate.ann_topk(queries, index, 10, 4, full_scan_rows=0)
+    four = approximate.ann_topk(queries, index, 10, 4)
     assert recall_at_k(four, exact).first()[0] > 0.6
     assert table(approximate.ann_topk(queries, index, 10, 1)) == table(exact)  # below the size threshold
 
@@ -111,7 +111,7 @@ def test_tenant_lists_are_apart(spark):
     items = inputs.vectors(spark, SMALL).withColumn("tenant_id", F.concat(F.lit("t"), F.col("label").cast("string")))
     index = approximate.build_cells(items, 4, by_tenant=True)
     queries = inputs.as_queries(items).withColumn("tenants", F.array(F.lit("t1"), F.lit("t2")))
-    got = approximate.ann_topk(queries, index, 5, 4, full_scan_rows=0)
+    got = approximate.ann_topk(queries, index, 5, 4)
     assert table(got) == table(retrieval.tenant_topk(queries, items, 5))
 
 

@@ -31,6 +31,30 @@ def test_text_json_csv_and_corpus(spark, tmp_path):
     assert rows(count_by_modality(corpus.withColumn("modality", F.lit(None).cast("string")))) == [("unknown", 10)]
 
 
+def test_every_csv_has_its_own_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "x,y\n1,2\n")
+    write(tmp_path / "b.csv", 'p,q,"r,s"\n5,6,7\n')
+    write(tmp_path / "c.csv", "only\n8\n")
+    assert [r[0] for r in rows(files.load_csv(spark, str(tmp_path)).select("text"), "text")] == ["1, 2", "5, 6, 7", "8"]
+
+
+def test_json_that_is_no_object_is_rejected_and_lines_are_read(spark, tmp_path):
+    write(tmp_path / "good.json", '{"k": 1}')
+    write(tmp_path / "bad.json", '{"k": ')
+    write(tmp_path / "l.jsonl", '{"k": 1}\n{"k": 2}\n')
+    assert [r[0] for r in rows(files.load_json(spark, str(tmp_path)).select("text"))] == ["k: 1"]
+    assert [r[0].split("/")[-1] for r in rows(files.rejected_json(spark, str(tmp_path)).select("file_path"))] == ["bad.json"]
+    assert sorted(r[0] for r in rows(files.load_json(spark, str(tmp_path), lines=True).select("text"))) == ["k: 1", "k: 2"]
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from ravelin.session import require_local
+
+    require_local("local[8]")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        require_local("spark://host:7077")
+
+
 def test_missing_and_empty_directories(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     for load in (files.load_text, files.load_json, files.load_csv):
@@ -40,6 +64,7 @@ def test_missing_and_empty_directories(spark, tmp_path):
 
 
 def test_tenant_tree(spark, tmp_path):
+    tmp_path = tmp_path / "it's"
     write(tmp_path / "acme" / "a.txt", "alpha")
     write(tmp_path / "acme" / "deep" / "a b+c.txt", "nested")
     write(tmp_path / "globex" / "g.txt", "gamma")
@@ -81,8 +106,13 @@ def test_vector_table_guards(spark, tmp_path):
     require_reconciled(wide, stored, "chunk_id")
     with pytest.raises(RuntimeError, match="2 rows produced but 1 stored"):
         require_reconciled(wide, stored.limit(1), "chunk_id")
-    with pytest.raises(ValueError, match="holds 2-dimensional vectors but the current embedder produces 1"):
+    with pytest.raises(ValueError, match="has 2 dimensions, the given rows 1"):
         vector_table.write_vectors(thin, path, 1, recreate=False)
+    more = spark.createDataFrame([("b", "2", [1.0, 0.0]), ("c", "t1", [0.0, 1.0])], wide.schema)
+    added = vector_table.write_vectors(more, path, 2, recreate=False)
+    assert rows(added.select("chunk_id", "embedding"), "chunk_id") == [("a", [1.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.0, 1.0])]
+    assert vector_table.read_meta(spark, path)["rows"] == 3
+    stored = vector_table.write_vectors(wide, path, 2, normalized=True, multitenant=True)
     assert vector_table.open_or_build(spark, path, lambda: thin, 2).count() == 2  # reused, not built
     assert vector_table.open_or_build(spark, path, lambda: thin, 1).count() == 2  # other dimension: rebuilt
     assert vector_table.read_meta(spark, path)["dim"] == 1
