@@ -45,7 +45,7 @@ PATTERNS = (
     ("person", re.compile(rf"(?<!\w)(?:(?:{_TITLE})\b\.?[ ]{_WORD}(?:[ ]{_WORD})?|(?:{_NAMES})[ ]{_WORD})(?!\w)")),
 )
 #: Every text with an entity matches this; the rest need no Python.
-POSSIBLE = rf"[0-9@]|\b(?:{_TITLE})\b|\b(?:{_NAMES})\b"
+POSSIBLE = rf"[0-9@]|(?=[A-ZÀ-ÖØ-ÞА-ЯЁ])(?:{_TITLE}|{_NAMES})[. ]"
 
 
 def detect(text: str) -> list[tuple[str, int, int]]:
