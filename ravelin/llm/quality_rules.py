@@ -142,7 +142,7 @@ def references(measured: DataFrame) -> DataFrame:
     """Mean histograms of each language over all its documents that pass the length guard: at most a row a language."""
 
     def mean(name: str, size: int) -> Column:
-        return F.array(*(F.avg(F.col(name)[i]) for i in range(size)))
+        return F.array(*(F.avg(F.get(F.col(name), F.lit(i))) for i in range(size)))
 
     most = max(len(x) for x in COMMON_WORDS.values()) + 1
     most = max(most, len({w for listed in COMMON_WORDS.values() for w in listed[:5]}) + 1)
