@@ -275,6 +275,45 @@ def test_near_dedup(spark, corpus):
     assert near_dedup.one_of_each(odd(spark)).count() == 6 and near_dedup.one_of_each(empty(spark)).count() == 0
 
 
+def test_near_dedup_joins_all_close_texts_of_a_mixed_bucket(spark):
+    """Texts around one long passage fall into the same buckets, but only some are close; each stray meets every member."""
+    random = np.random.Generator(np.random.PCG64(5))
+    words = [f"w{k}" for k in range(4_000)]
+    passage = [words[k] for k in random.integers(0, 4_000, 80)]
+    tails = [[words[k] for k in random.integers(0, 4_000, 24)] for _ in range(12)]
+    texts = {k: " ".join(passage + tails[k % 12][: 24 - int(random.integers(0, 4))] + [f"end{k}"] * int(random.integers(0, 3))) for k in range(240)}
+    df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string").repartition(5)
+    idf = near_dedup.shingle_weights(df)
+    own, bands = {d: near_dedup._weighted([t], idf)[:2] for d, t in texts.items()}, dict(zip(texts, near_dedup.signatures(list(texts.values()), idf), strict=True))
+    classes = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(df).collect()}
+    wanted = {d: d for d in texts}
+
+    def top(d):
+        while wanted[d] != d:
+            d = wanted[d]
+        return d
+
+    for a in texts:
+        for b in range(a + 1, 240):
+            if (bands[a] == bands[b]).any() and near_dedup.weighted_jaccard(own[a], own[b]) >= 0.8:
+                low, high = sorted((top(a), top(b)))
+                wanted[high] = low
+    assert classes == {d: top(d) for d in texts} and 1 < len(set(classes.values())) < 240
+
+
+def test_outlines_bound_what_two_texts_share(corpus):
+    texts = [t or "" for t in corpus.values()][:150]
+    idf = np.full(1 << near_dedup.SLOT_BITS, 1.2, dtype=np.float32)
+    marks = [np.frombuffer(o, "<f2").astype(np.float64) for o in near_dedup.outlines(texts, idf)]
+    own = [near_dedup._weighted([t], idf)[:2] for t in texts]
+    for a in range(len(texts)):
+        for b in range(a):
+            shared = np.minimum(marks[a], marks[b]).sum()
+            every = marks[a].sum() + marks[b].sum() - shared
+            if every > 0:
+                assert shared / every >= 0.99 * near_dedup.weighted_jaccard(own[a], own[b])
+
+
 def test_pii(spark, corpus):
     extra = {-1: "Write to Ann.Lee+x@Mail.Example.com or ann.lee+x@mail.example.com, call +1 (212) 555-0147 or (212) 555-0147 from 10.0.25.200.", -2: "Mrs Weber met Paul Weber; Frau Weber paid with 4539 1488 0343 6467. Ольга Петрова too.", -3: None, -4: "", -5: "Version 1.2.3 has 42 parts.", -6: "GB82 WEST 1234 5698 7654 32 and 078-05-1120"}
     texts = corpus | extra
