@@ -24,8 +24,8 @@ COMMON_SHARE = 0.1
 BEFORE = 2
 #: Members that one leader's text is compared with in one place.
 CHUNK = 128
-#: Slots of a text's outline, and the sides of the cells in which outlines of one bucket meet.
-OUTLINE, CELL_STRAYS, CELL_MEMBERS = 128, 64, 2_048
+#: Slots of a text's outline, and the sides of the cells in which texts of one bucket meet.
+OUTLINE, CELL_STRAYS, CELL_MEMBERS = 128, 64, 1_024
 TABLE_BITS = 15
 
 _SLOT = np.uint64(64 - SLOT_BITS)
@@ -79,12 +79,9 @@ def _variates() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return r, c, random.random(1 << TABLE_BITS).astype(np.float32), random.integers(1 << 62, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def outlines(texts: list[str], idf: np.ndarray) -> list[bytes]:
-    """The weights of each text added up in OUTLINE slots of its shingles, as 16-bit floats."""
-    hashes, weights, sizes = _weighted(texts, idf)
-    slots = np.repeat(np.arange(len(texts)) * OUTLINE, sizes) + (mix(hashes) % np.uint64(OUTLINE)).astype(np.int64)
-    sums = np.bincount(slots, weights=weights, minlength=len(texts) * OUTLINE).reshape(len(texts), OUTLINE)
-    return [row.tobytes() for row in np.minimum(sums, 60_000).astype("<f2")]
+def outline(text: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """A text's weights added up in OUTLINE slots of its shingles."""
+    return np.bincount((mix(text[0]) % np.uint64(OUTLINE)).astype(np.int64), weights=text[1], minlength=OUTLINE)
 
 
 def signatures(texts: list[str], idf: np.ndarray) -> np.ndarray:
@@ -124,14 +121,13 @@ def signatures(texts: list[str], idf: np.ndarray) -> np.ndarray:
 
 
 def _sign(shared):
-    out = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64())), ("outline", pa.binary())])
+    out = pa.schema([("doc_id", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            texts = texts_of(part)
-            bands = signatures(texts, shared.value).astype(np.int64)
+            bands = signatures(texts_of(part), shared.value).astype(np.int64)
             rows = [b.tolist() if b.any() else [] for b in bands]
-            yield arrow_batches({"doc_id": part.column("doc_id"), "node": part.column("node"), "bands": rows, "outline": outlines(texts, shared.value)}, out)
+            yield arrow_batches({"doc_id": part.column("doc_id"), "node": part.column("node"), "bands": rows}, out)
 
     return run
 
@@ -193,69 +189,6 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
     return every.groupBy("a", "b").agg(F.min("a_id").alias("a_id"), F.min("b_id").alias("b_id"), F.min("chunk").alias("chunk"))
 
 
-_MET = pa.schema([("a", pa.binary()), ("a_id", pa.int64()), ("b", pa.binary()), ("b_id", pa.int64()), ("chunk", pa.int64())])
-_MET_SQL = "a binary, a_id long, b binary, b_id long, chunk long"
-
-
-def _meet(threshold: float):
-    """In each cell the strays' outlines are held and the members' pass by; pairs that may reach the threshold come out.
-
-    What two texts share is at most the sum of the lesser of their outlines' slots, so no pair that reaches the
-    threshold is left out; the margin covers the rounding to 16 bits.
-    """
-    least = threshold * 0.99
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, strays, held, sums = None, [], None, None
-        for part in slices(batches):
-            found: dict[str, list] = {f.name: [] for f in _MET}
-            rows = part.to_pylist()
-            marks = np.frombuffer(b"".join(r["outline"] for r in rows), "<f2").astype(np.float32).reshape(len(rows), OUTLINE)
-            for k, row in enumerate(rows):
-                where = row["band"], row["key"], row["i"], row["j"]
-                if where != cell:
-                    cell, strays, held = where, [], None
-                if row["stray"] == 0:
-                    strays.append((row["node"], row["doc_id"], row["root"], marks[k]))
-                    continue
-                if held is None:
-                    held = np.stack([s[3] for s in strays]) if strays else np.empty((0, OUTLINE), np.float32)
-                    sums = held.sum(axis=1)
-                shared = np.minimum(held, marks[k]).sum(axis=1)
-                for at in np.flatnonzero(shared >= least * (sums + marks[k].sum() - shared)).tolist():
-                    node, doc_id, root, _ = strays[at]
-                    if root != row["root"] and (row["main"] or node < row["node"]):
-                        for name, value in zip(found, (node, doc_id, row["node"], row["doc_id"], row["j"]), strict=True):
-                            found[name].append(value)
-            yield arrow_batches(found, _MET)
-
-    return run
-
-
-def stray_pairs(signed: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """Distinct (a, a_id, b, b_id, chunk) still to verify: members of one bucket that lie in different components.
-
-    Of each bucket, the members outside its largest component are strays; they meet all its members in a grid of cells of
-    bounded sides, by outlines, and only the pairs whose outlines allow the threshold are given out.
-    """
-    texts = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("outline").alias("outline"))
-    placed = texts.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    members = placed.select("node", "doc_id", "root", F.posexplode("bands").alias("band", "key"))
-    counted = members.groupBy("band", "key", "root").agg(F.count("*").alias("n")).groupBy("band", "key")
-    mixed = counted.agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("largest"))
-    mixed = mixed.where("roots > 1").select("band", "key", "largest", F.ceil(F.col("n") / CELL_MEMBERS).alias("js"), F.ceil((F.col("n") - F.col("top")) / CELL_STRAYS).alias("is"))
-    open_ = stored(members.join(mixed, ["band", "key"]).withColumn("main", F.col("root") == F.col("largest")).drop("largest"), "open")
-    outline = placed.join(open_.select("node").distinct(), "node").select("node", "outline")
-    open_ = open_.join(outline, "node")
-    spot = F.xxhash64("node")
-    kept = ("band", "key", "i", "j", "stray", "node", "doc_id", "root", "main", "outline")
-    strays = open_.where("not main").withColumns({"i": F.pmod(spot, "is"), "j": F.explode(F.sequence(F.lit(0).cast("long"), F.col("js") - 1)), "stray": F.lit(0)})
-    passing = open_.withColumns({"j": F.pmod(spot, "js"), "i": F.explode(F.sequence(F.lit(0).cast("long"), F.col("is") - 1)), "stray": F.lit(1)})
-    cells = strays.select(*kept).unionAll(passing.select(*kept)).repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "stray")
-    met = cells.mapInArrow(_meet(threshold), _MET_SQL)
-    return met.groupBy("a", "b").agg(F.min("a_id").alias("a_id"), F.min("b_id").alias("b_id"), F.min("chunk").alias("chunk"))
-
-
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Sum of the lesser weights over sum of the greater ones; texts as ascending shingles and their weights."""
     _, at_a, at_b = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -297,6 +230,83 @@ def verified_links(rows: DataFrame, pairs: DataFrame, shared, threshold: float =
     return texts.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role", "node").mapInArrow(_verify(shared, threshold), "a binary, b binary, similarity double")
 
 
+def _bags(shared):
+    """Each text's distinct shingles (64 bits each) and their weights (32 bits each)."""
+    out = pa.schema([("node", pa.binary()), ("hashes", pa.binary()), ("weights", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 64):
+            hashes, weights, sizes = _weighted(texts_of(part), shared.value)
+            spans = [(end - size, end) for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)]
+            bags = {"hashes": [hashes[x:y].astype("<u8").tobytes() for x, y in spans], "weights": [weights[x:y].astype("<f4").tobytes() for x, y in spans]}
+            yield arrow_batches({"node": part.column("node"), **bags}, out)
+
+    return run
+
+
+def _meet(threshold: float):
+    """In each cell the strays are held and the members pass by; a link comes out where two components first meet.
+
+    What two texts share is at most the sum of the lesser of their outlines' slots, so no pair that reaches the
+    threshold is passed over. Texts that share an earlier band meet there.
+    """
+    out = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, strays, held, joined = None, [], None, set()
+        for part in slices(batches, 64):
+            found: dict[str, list] = {f.name: [] for f in out}
+            for row in part.to_pylist():
+                where = row["band"], row["key"], row["i"], row["j"]
+                if where != cell:
+                    cell, strays, held, joined = where, [], None, set()
+                bag = np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["weights"], "<f4")
+                mark, bands = outline(bag), np.array(row["bands"])
+                if row["stray"] == 0:
+                    strays.append((row["node"], row["root"], bag, mark, bands))
+                    continue
+                if not strays:
+                    continue
+                if held is None:
+                    held = np.stack([x[3] for x in strays]), np.array([x[3].sum() for x in strays]), np.stack([x[4] for x in strays])
+                shared = np.minimum(held[0], mark).sum(axis=1)
+                near = shared >= threshold * (1 - 1e-6) * (held[1] + mark.sum() - shared)
+                for at in np.flatnonzero(near & ~(held[2][:, : row["band"]] == bands[: row["band"]]).any(axis=1)).tolist():
+                    node, root, other, _, _ = strays[at]
+                    if root == row["root"] or (root, row["root"]) in joined or not (row["main"] or node < row["node"]):
+                        continue
+                    if weighted_jaccard(other, bag) >= threshold:
+                        joined.add((root, row["root"]))
+                        found["a"].append(root)
+                        found["b"].append(row["root"])
+            yield arrow_batches(found, out)
+
+    return run
+
+
+def stray_links(rows: DataFrame, signed: DataFrame, roots: DataFrame, shared, threshold: float = THRESHOLD) -> DataFrame:
+    """Links (a, b) between the roots of components that texts of one bucket join.
+
+    Of each bucket with several components, the members outside the largest are strays; they meet all its members in a
+    grid of cells of bounded sides. At most one link of two components comes out of a cell.
+    """
+    texts = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    members = texts.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"), "bands", F.posexplode("bands").alias("band", "key"))
+    counted = members.groupBy("band", "key", "root").agg(F.count("*").alias("n")).groupBy("band", "key")
+    mixed = counted.agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("largest"))
+    sides = F.ceil((F.col("n") - F.col("top")) / CELL_STRAYS).alias("is"), F.ceil(F.col("n") / CELL_MEMBERS).alias("js")
+    met = stored(members.join(mixed.where("roots > 1").select("band", "key", "largest", *sides), ["band", "key"]).withColumn("main", F.col("root") == F.col("largest")), "met")
+    needs = met.select("node", F.col("doc_id").alias("row_id")).distinct()
+    bags = rows.join(needs, "node").where(F.col("doc_id").eqNullSafe(F.col("row_id"))).select("node", "text").mapInArrow(_bags(shared), "node binary, hashes binary, weights binary")
+    whole = met.join(stored(bags, "bags").dropDuplicates(["node"]), "node")
+    spot, every = F.xxhash64("node"), lambda side: F.explode(F.sequence(F.lit(0).cast("long"), F.col(side) - 1))
+    kept = ("band", "key", "i", "j", "stray", "node", "root", "main", "bands", "hashes", "weights")
+    strays = whole.where("not main").withColumns({"i": F.pmod(spot, "is"), "j": every("js"), "stray": F.lit(0)})
+    passing = whole.withColumns({"i": every("is"), "j": F.pmod(spot, "js"), "stray": F.lit(1)})
+    cells = strays.select(*kept).unionAll(passing.select(*kept)).repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "stray")
+    return cells.mapInArrow(_meet(threshold), "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, node, class_id) of every row: rows of one class are joined by a chain of near copies.
 
@@ -304,22 +314,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Equal texts are one node from the start. Consistent weighted samples of each distinct text are banded; texts that
     share a band are candidates, and those whose weighted Jaccard similarity reaches the threshold are linked. A bucket's
     members are first compared with its first member and the two before; members that this leaves in different components
-    then meet by outlines, and the pairs whose outlines allow the threshold are verified too, so no link between texts
-    that share a band is lost to a class. A class's id is its least doc_id, null only where all its ids are.
+    then meet in cells, so no link between texts that share a band is lost to a class. A class's id is its least doc_id,
+    null only where all its ids are.
 
     Null text counts as empty; texts without words are alike only if equal. Repeated rows and ids each give a row.
     Other columns are left out; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("node", node_of(F.col("text")))
     shared = docs.sparkSession.sparkContext.broadcast(shingle_weights(rows))
-    signed = stored(rows.mapInArrow(_sign(shared), "doc_id long, node binary, bands array<long>, outline binary"), "signatures")
+    signed = stored(rows.mapInArrow(_sign(shared), "doc_id long, node binary, bands array<long>"), "signatures")
     pairs = stored(candidate_pairs(signed), "candidates")
-    links = stored(verified_links(rows, pairs, shared, threshold).select("a", "b"), "links")
-    roots = components(links)
-    strays = stored(stray_pairs(signed, roots, threshold), "strays")
-    more = verified_links(rows, strays, shared, threshold).select("a", "b")
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
-    placed = signed.select("doc_id", "node").join(roots, "node", "left").select("doc_id", "node", F.coalesce("root", "node").alias("root"))
+    roots = components(verified_links(rows, pairs, shared, threshold))
+    last = components(stray_links(rows, signed, roots, shared, threshold)).select(F.col("node").alias("first_root"), F.col("root").alias("last_root"))
+    placed = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("first_root", F.coalesce("root", "node"))
+    placed = placed.join(last, "first_root", "left").select("doc_id", "node", F.coalesce("last_root", "first_root").alias("root"))
     return placed.join(placed.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("doc_id", "node", "class_id")
 
 

@@ -304,14 +304,14 @@ def test_near_dedup_joins_all_close_texts_of_a_mixed_bucket(spark):
 def test_outlines_bound_what_two_texts_share(corpus):
     texts = [t or "" for t in corpus.values()][:150]
     idf = np.full(1 << near_dedup.SLOT_BITS, 1.2, dtype=np.float32)
-    marks = [np.frombuffer(o, "<f2").astype(np.float64) for o in near_dedup.outlines(texts, idf)]
     own = [near_dedup._weighted([t], idf)[:2] for t in texts]
+    marks = [near_dedup.outline(x) for x in own]
     for a in range(len(texts)):
         for b in range(a):
             shared = np.minimum(marks[a], marks[b]).sum()
             every = marks[a].sum() + marks[b].sum() - shared
             if every > 0:
-                assert shared / every >= 0.99 * near_dedup.weighted_jaccard(own[a], own[b])
+                assert shared / every >= near_dedup.weighted_jaccard(own[a], own[b]) - 1e-9
 
 
 def test_pii(spark, corpus):
