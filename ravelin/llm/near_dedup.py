@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ravelin.llm.common import arrow_batches, slices, stored, table, texts_of
 from ravelin.llm.components import components
 from ravelin.llm.shingles import mix, shingles
+from ravelin.session import broadcast_if_small
 
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
@@ -296,7 +297,7 @@ def stray_links(rows: DataFrame, signed: DataFrame, roots: DataFrame, shared, th
     mixed = counted.agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("largest"))
     sides = F.ceil((F.col("n") - F.col("top")) / CELL_STRAYS).alias("is"), F.ceil(F.col("n") / CELL_MEMBERS).alias("js")
     met = stored(members.join(mixed.where("roots > 1").select("band", "key", "largest", *sides), ["band", "key"]).withColumn("main", F.col("root") == F.col("largest")), "met")
-    needs = met.select("node", F.col("doc_id").alias("row_id")).distinct()
+    needs = broadcast_if_small(met.select("node", F.col("doc_id").alias("row_id")).distinct())  # two ids a row; beyond the bound by shuffle
     bags = rows.join(needs, "node").where(F.col("doc_id").eqNullSafe(F.col("row_id"))).select("node", "text").mapInArrow(_bags(shared), "node binary, hashes binary, weights binary")
     whole = met.join(stored(bags, "bags").dropDuplicates(["node"]), "node")
     spot, every = F.xxhash64("node"), lambda side: F.explode(F.sequence(F.lit(0).cast("long"), F.col(side) - 1))
