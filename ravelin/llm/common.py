@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within it, jobs hand `rows` rows at a time to Python: bounds the Arrow buffers of wide rows on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch; a null text counts as an empty one."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import arrow_batches, slices, stored, table, texts_of
+from ravelin.llm.common import arrow_batches, arrow_rows, slices, stored, table, texts_of
 from ravelin.llm.components import components
 from ravelin.llm.shingles import mix, shingles
 from ravelin.session import broadcast_if_small
@@ -28,6 +28,8 @@ CHUNK = 128
 #: Slots of a text's outline, and the sides of the cells in which texts of one bucket meet.
 OUTLINE, CELL_STRAYS, CELL_MEMBERS = 128, 64, 1_024
 TABLE_BITS = 15
+#: Rows, most of them texts or bags of shingles, that go to Python at a time.
+BATCH_ROWS = 512
 
 _SLOT = np.uint64(64 - SLOT_BITS)
 
@@ -322,11 +324,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Other columns are left out; an empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("node", node_of(F.col("text")))
-    shared = docs.sparkSession.sparkContext.broadcast(shingle_weights(rows))
-    signed = stored(rows.mapInArrow(_sign(shared), "doc_id long, node binary, bands array<long>"), "signatures")
-    pairs = stored(candidate_pairs(signed), "candidates")
-    roots = components(verified_links(rows, pairs, shared, threshold))
-    last = components(stray_links(rows, signed, roots, shared, threshold)).select(F.col("node").alias("first_root"), F.col("root").alias("last_root"))
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):  # every job that hands texts to Python runs in here
+        shared = docs.sparkSession.sparkContext.broadcast(shingle_weights(rows))
+        signed = stored(rows.mapInArrow(_sign(shared), "doc_id long, node binary, bands array<long>"), "signatures")
+        pairs = stored(candidate_pairs(signed), "candidates")
+        roots = components(verified_links(rows, pairs, shared, threshold))
+        last = components(stray_links(rows, signed, roots, shared, threshold)).select(F.col("node").alias("first_root"), F.col("root").alias("last_root"))
     placed = signed.select("doc_id", "node").join(roots, "node", "left").withColumn("first_root", F.coalesce("root", "node"))
     placed = placed.join(last, "first_root", "left").select("doc_id", "node", F.coalesce("last_root", "first_root").alias("root"))
     return placed.join(placed.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("doc_id", "node", "class_id")
