@@ -9,7 +9,7 @@ import numpy as np
 import xxhash
 
 WIDTH = 5
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
