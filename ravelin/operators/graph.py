@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import Embedder, embed
@@ -26,20 +26,36 @@ class Graph:
     sources: DataFrame  # chunk_id, src, rel, dst: the chunks each relation was read from
 
 
-def extract_triples(chunks: DataFrame, phrases: Mapping[str, str], max_per_chunk: int | None = 12) -> DataFrame:
-    """Rule-based triples: `<name> <phrase> <name>`, the phrases tried in the given order; capped per chunk unless None."""
-    found = []
-    for phrase, relation in phrases.items():
-        middle = f" {phrase} "
-        # A name holds no blank, so the matched text splits at the phrase into its two names.
-        matches = F.when(
-            F.contains("text", F.lit(middle)), F.regexp_extract_all("text", F.lit(f"{NAME}{middle}{NAME}"), F.lit(0))
-        ).otherwise(F.array().cast("array<string>"))
-        half = lambda m, n: F.split_part(m, F.lit(middle), F.lit(n))
-        found.append(
-            F.transform(matches, lambda m: F.struct(half(m, 1).alias("src"), F.lit(relation).alias("rel"), half(m, 2).alias("dst")))
+def _stated(text: Column, phrase: str, order: int, relation: str) -> Column:
+    """Triples of one phrase with their place in the text: what ends a piece before the phrase and begins the one after.
+
+    Pieces are shared by the phrases on both sides of them, so "a of b of c" gives both triples.
+    """
+    middle = f" {phrase} "
+
+    def triples(pieces: Column) -> Column:
+        ends = F.aggregate(
+            pieces, F.array(F.lit(0)), lambda at, piece: F.array_append(at, F.element_at(at, -1) + F.length(piece) + len(middle))
         )
-    return chunks.select("chunk_id", F.inline(F.concat(*found) if max_per_chunk is None else F.slice(F.concat(*found), 1, max_per_chunk)))
+        return F.transform(F.array(ends), lambda at: F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: F.struct(
+            (F.get(at, i) - len(middle)).alias("at"),
+            F.lit(order).alias("order"),
+            F.regexp_extract(F.get(pieces, i - 1), rf"{NAME}\z", 0).alias("src"),
+            F.lit(relation).alias("rel"),
+            F.regexp_extract(F.get(pieces, i), rf"\A{NAME}", 0).alias("dst"),
+        )))[0]
+
+    split = F.split(text, rf"\Q{middle}\E", -1)
+    found = F.when(F.contains(text, F.lit(middle)), F.transform(F.array(split), triples)[0])
+    return F.filter(F.coalesce(found, F.array()), lambda t: (t["src"] != "") & (t["dst"] != ""))
+
+
+def extract_triples(chunks: DataFrame, phrases: Mapping[str, str], max_per_chunk: int | None = 12) -> DataFrame:
+    """Rule-based triples `<name> <phrase> <name>`; of each chunk the first ones in the text, or all if the cap is None."""
+    found = F.concat(*(_stated(F.col("text"), phrase, n, relation) for n, (phrase, relation) in enumerate(phrases.items())))
+    if max_per_chunk is not None:
+        found = F.slice(F.sort_array(found), 1, max_per_chunk)
+    return chunks.select("chunk_id", F.inline(found)).select("chunk_id", "src", "rel", "dst")
 
 
 def extract_triples_with(

@@ -15,14 +15,14 @@ FACT_PHRASES = {"lives in": "LIVES_IN", "is based in": "BASED_IN", "is part of":
 
 
 def triples_sql(name: str, source: str, phrases: dict[str, str], cap: int = 12) -> str:
-    word = r"([\p{L}\p{N}#_]+)"
-    parts = ", ".join(
-        f"list_transform(list_zip(regexp_extract_all(text, '{word} {p} {word}', 1), regexp_extract_all(text, '{word} {p} {word}', 2)), "
-        f"lambda t: {{'src': t[1], 'rel': '{r}', 'dst': t[2]}})"
-        for p, r in phrases.items()
+    word = r"[\p{L}\p{N}#_]+"
+    pieces = " union all ".join(
+        f"select chunk_id, {n} as ord, '{r}' as rel, ' {p} ' as middle, ps, unnest(range(1, len(ps))) as i from (select chunk_id, string_split(text, ' {p} ') as ps from {source})"
+        for n, (p, r) in enumerate(phrases.items())
     )
-    return f"""{name}_l as (select chunk_id, unnest(list_concat({parts})[1:{cap}]) as t from {source}),
-{name} as (select chunk_id, t.src as src, t.rel as rel, t.dst as dst from {name}_l)"""
+    return f"""{name}_l as (select chunk_id, ord, rel, length(array_to_string(ps[1:i], '')) + (i - 1) * length(middle) as at_,
+  regexp_extract(ps[i], '{word}\\z') as src, regexp_extract(ps[i + 1], '\\A{word}') as dst from ({pieces})),
+{name} as (select chunk_id, src, rel, dst from {name}_l where src <> '' and dst <> '' qualify row_number() over (partition by chunk_id order by at_, ord) <= {cap})"""
 
 
 TEXT_TRIPLES = f"with {DOCS}, {windows('c', 'docs', 300, 30)}, {triples_sql('tr', 'c', WORD_PHRASES)}"
@@ -117,7 +117,8 @@ def list_triples(spark, d):
 
 
 INDEXED = f"{FACTS}, {EDGES}, {REGION_QUESTIONS}, {embedded('qi', 'rq', 'query_id', 'text')}, {embedded('ei', 'ent', 'name', 'name')}, {nearest('vs', 'qi', 'ei', 4, item='name')}"
-KEYWORDS = f"""kw as (select distinct query_id, name from (select query_id, unnest({tokens('text')}) as w from rq) join ent on lower(name) = w),
+NAMES = r"regexp_extract_all(lower(text), '[\p{L}\p{N}#_]+')"
+KEYWORDS = f"""kw as (select distinct query_id, name from (select query_id, unnest(list_concat({tokens('text')}, {NAMES})) as w from rq) join ent on lower(name) = w),
 seeds as (select query_id, name from vs union select query_id, name from kw)"""
 
 
@@ -132,7 +133,7 @@ def vector_seeds(spark, d):
     "keyword_seeds",
     f"""{TEXT_TRIPLES}, {EDGES}, syn as (select lang as keyword, source as synonym from documents group by all),
 q as (select conv_id || '-' || turn as query_id, text from conversations where role = 'user'),
-w as (select distinct query_id, unnest({tokens('text')}) as k from q),
+w as (select distinct query_id, unnest(list_concat({tokens('text')}, {NAMES})) as k from q),
 kws as (select query_id, k from w union select query_id, lower(synonym) from w join syn on lower(keyword) = k)
 select distinct query_id, name from kws join ent on lower(name) = k""",
 )

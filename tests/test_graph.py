@@ -27,6 +27,16 @@ def test_extraction_is_capped(spark):
     assert kg.extract_triples_with(chunks, many, 5).count() == 5
 
 
+def test_triples_share_names_and_the_cap_follows_the_text(spark):
+    text = "ash of birch of cedar with elm of " + " ".join(f"w{i} of v{i}," for i in range(20)) + " oak with pine\n"
+    chunks = spark.createDataFrame([("1", text), ("2", None), ("3", ""), ("4", " of , with x of ")], "chunk_id string, text string")
+    phrases = {"with": "WITH", "of": "OF"}
+    first = kg.extract_triples(chunks, phrases, 4)
+    assert rows(first) == [("1", "ash", "OF", "birch"), ("1", "birch", "OF", "cedar"), ("1", "cedar", "WITH", "elm"), ("1", "elm", "OF", "w0")]
+    every = kg.extract_triples(chunks, phrases, None)
+    assert every.count() == 3 + 1 + 20 + 1 and ("1", "oak", "WITH", "pine") in rows(every)
+
+
 def simple_paths(edges, seed, depth):
     """Relations on simple paths from `seed`, by listing the paths."""
     found, paths = {}, [(seed, ())]
