@@ -43,7 +43,8 @@ def word_window_spans(word_list: Column, size: int, overlap: int) -> Column:
 
 def cut_to_size(sentence_list: Column, size: int) -> Column:
     """Sentences, with any longer than `size` words cut into `size`-word pieces."""
-    return F.flatten(F.transform(sentence_list, lambda s: word_window_spans(words(s), size, 0)))
+    # The one-element array keeps the word list bound, so that it is not split again for every piece.
+    return F.flatten(F.transform(sentence_list, lambda s: F.transform(F.array(words(s)), lambda w: word_window_spans(w, size, 0))[0]))
 
 
 def packed_chunks(pieces: Column, size: int, overlap: int) -> Column:
