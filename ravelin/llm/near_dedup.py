@@ -68,9 +68,11 @@ def shingle_weights(docs: DataFrame) -> np.ndarray:
     return np.sqrt(np.log1p(1.0 / (share + COMMON_SHARE))).astype(np.float32)
 
 
-def _weighted(texts: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles, their weights (damped term frequency by inverse document frequency), and their number."""
+def _weighted(texts: list[str], idf: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles, their weights (damped term frequency by inverse document frequency; all 1 without idf), and their number."""
     distinct, counts, sizes = _counted(*shingles(texts))
+    if idf is None:
+        return distinct, np.ones(len(distinct), np.float32), sizes
     return distinct, (1.0 + np.log(np.maximum(counts, 1))) * idf[(distinct >> _SLOT).astype(np.int64)], sizes
 
 

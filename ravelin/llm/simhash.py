@@ -1,4 +1,4 @@
-"""SimHash fingerprints, and all fingerprints within a Hamming radius through permuted block tables."""
+"""SimHash fingerprints, all fingerprints within a Hamming radius through permuted block tables, and verified near copies."""
 
 from __future__ import annotations
 
@@ -12,11 +12,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import arrow_batches, slices, stored, table, temp, texts_of
+from ravelin.llm.common import arrow_batches, arrow_rows, slices, stored, table, temp, texts_of
 from ravelin.llm.components import components
-from ravelin.llm.shingles import shingles
+from ravelin.llm.near_dedup import BATCH_ROWS, candidate_pairs, node_of, stray_links, verified_links
+from ravelin.llm.shingles import mix, shingles
 
 BITS, RADIUS = 64, 3
+#: Texts that share this part of their distinct shingles are near copies. Their fingerprints differ in about 10 bits at
+#: 0.8, more than block tables can reach, so they are found by bands of least hashes and verified.
+SIMILAR = 0.8
+BANDS, ROWS = 12, 4
 #: Six blocks, of which two fingerprints within radius 3 agree in three at least: 20 tables with keys of 32 or 33 bits.
 BLOCKS = 6
 #: Fingerprints of a bucket compared at a time.
@@ -30,15 +35,41 @@ def fingerprints(texts: list[str]) -> np.ndarray:
 
     A bit is set where the votes for it are more than those against it. A text without words has fingerprint 0.
     """
-    hashes, sizes = shingles(texts)
+    return _voted(*shingles(texts))
+
+
+def _voted(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     octets = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
     cells = (owner[:, None] * 8 + np.arange(8)) * 256 + octets
-    counts = np.bincount(cells.ravel(), minlength=len(texts) * 8 * 256).reshape(-1, 256)
-    votes = (counts @ _SIGNS).reshape(len(texts), 64) > 0
+    counts = np.bincount(cells.ravel(), minlength=len(sizes) * 8 * 256).reshape(-1, 256)
+    votes = (counts @ _SIGNS).reshape(len(sizes), 64) > 0
     return np.packbits(votes, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def least_bands(hashes: np.ndarray, sizes: np.ndarray) -> list[list[int]]:
+    """BANDS keys for each text, each of ROWS least hashes of its shingles; none for a text without words.
+
+    Two texts of similarity s share a key with the probability 1 - (1 - s ** ROWS) ** BANDS, 0.998 at 0.8.
+    """
+    out: list[list[int]] = [[] for _ in sizes]
+    filled = np.flatnonzero(sizes)
+    if not len(filled):
+        return out
+    starts = (np.cumsum(sizes) - sizes)[filled]
+    multipliers = np.random.Generator(np.random.PCG64(31)).integers(1 << 62, size=BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    keys = np.empty((len(filled), BANDS), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for band in range(BANDS):
+            key = np.full(len(filled), band + 1, dtype=np.uint64)
+            for m in multipliers[band * ROWS : (band + 1) * ROWS]:
+                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(hashes * m, starts))
+            keys[:, band] = key
+    for k, row in zip(filled.tolist(), keys.astype(np.int64).tolist(), strict=True):
+        out[k] = row
+    return out
+
+
 def edited(text: str, following: str) -> str:
     """`text` with its last quarter replaced by as much of the beginning of the next text."""
     part = len(text) // 4
@@ -48,18 +79,21 @@ def edited(text: str, following: str) -> str:
 _OUT = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("place", pa.int32()), ("text", pa.string()), ("n_chars", pa.int64()), ("edited_sha256", pa.string())]
     + [(c, pa.int64()) for c in ("bits", "edited_bits", "next_bits")]
+    + [("node", pa.binary()), ("bands", pa.list_(pa.int64()))]
 )
 _FIRST, _LAST, _DONE = 0, 1, 2
-_OUT_SQL = "doc_id long, part int, place int, text string, n_chars long, edited_sha256 string, bits long, edited_bits long, next_bits long"
+_OUT_SQL = "doc_id long, part int, place int, text string, n_chars long, edited_sha256 string, bits long, edited_bits long, next_bits long, node binary, bands array<long>"
 
 
 def _finished(ids: list, texts: list[str], following: list[str], part: int) -> pa.RecordBatch:
     changed = [edited(t, f) for t, f in zip(texts, following, strict=True)]
-    own, other, after = (fingerprints(x).astype(np.int64) for x in (texts, changed, following))
+    found = shingles(texts)
+    own, other, after = _voted(*found).astype(np.int64), *(fingerprints(x).astype(np.int64) for x in (changed, following))
+    nodes = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
     n = len(texts)
     digests = [hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest() for c in changed]
     return arrow_batches(
-        {"doc_id": ids, "part": [part] * n, "place": [_DONE] * n, "text": [None] * n, "n_chars": [len(t) for t in texts], "edited_sha256": digests, "bits": own, "edited_bits": other, "next_bits": after}, _OUT
+        {"doc_id": ids, "part": [part] * n, "place": [_DONE] * n, "text": [None] * n, "n_chars": [len(t) for t in texts], "edited_sha256": digests, "bits": own, "edited_bits": other, "next_bits": after, "node": nodes, "bands": least_bands(*found)}, _OUT
     )
 
 
@@ -91,6 +125,8 @@ def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprint_edits(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, bits, edited_bits, next_bits) of every text, its edited text and the next text.
 
+    Besides, `node` stands for the text itself, and `bands` are its keys for near copies.
+
     Rows are range-sorted by doc_id (ties by the text's hash; null ids come first) and streamed, each task looking one
     row ahead. Two texts of each task, its first and its last, are joined across task borders; after the last document
     comes the first. A single document follows itself. Null text counts as empty. An empty table gives no rows.
@@ -103,7 +139,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     firsts = along.where(F.col("place") == _FIRST).select(F.col("part").alias("next_part"), F.col("text").alias("following"))
     lasts = along.where(F.col("place") == _LAST).select("doc_id", "text", "part").join(after, "part").join(firsts, "next_part")
     closed = lasts.select("doc_id", "text", "following").mapInArrow(_close, _OUT_SQL)
-    kept = ("doc_id", "n_chars", "edited_sha256", "bits", "edited_bits", "next_bits")
+    kept = ("doc_id", "n_chars", "edited_sha256", "bits", "edited_bits", "next_bits", "node", "bands")
     return along.where(F.col("place") == _DONE).select(*kept).unionAll(closed.select(*kept))
 
 
@@ -194,14 +230,38 @@ def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return components(near_links(prints, radius)).select(F.col("node").alias("bits"), F.col("root").alias("near_class"))
 
 
+def copy_links(docs: DataFrame, prints: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Links (a, b) of fingerprints that connect all texts with a shared band whose distinct shingles reach `similar`.
+
+    `prints` are the rows of fingerprint_edits for `docs`. Candidates are verified by the Jaccard similarity of their
+    shingles; a bucket is linked as in near_dedup, with an exact pass over buckets of several components.
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("node", node_of(F.col("text")))
+    signed = prints.select("doc_id", "node", "bands")
+    with arrow_rows(spark, BATCH_ROWS):
+        plain = spark.sparkContext.broadcast(None)  # every shingle weighs 1
+        roots = components(verified_links(rows, stored(candidate_pairs(signed), "candidates"), plain, similar))
+        last = stored(stray_links(rows, signed, roots, plain, similar), "strays")
+    links = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(last)
+    bits = prints.groupBy("node").agg(F.first("bits").alias("bits"))
+    own, other = (bits.select(F.col("node").alias(c), F.col("bits").alias(f"{c}_bits")) for c in ("a", "b"))
+    return links.join(own, "a").join(other, "b").where("a_bits != b_bits").select(F.col("a_bits").alias("a"), F.col("b_bits").alias("b"))
+
+
 def _text(bits: Column) -> Column:
     return F.lpad(F.lower(F.hex(bits)), 16, "0")
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
-    """Fingerprints of every document and its edited text, their likeness, and the class of documents within radius 3."""
-    rows = fingerprint_edits(table(spark, folder, "documents").select("doc_id", "text"))
-    classes = near_classes(rows)
+    """Fingerprints of every document and its edited text, their likeness, and the class of near documents.
+
+    A chain of documents makes a class, each within radius 3 of another or sharing SIMILAR of its distinct shingles.
+    """
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rows = stored(fingerprint_edits(docs), "prints")
+    links = near_links(rows).unionAll(copy_links(docs, rows))
+    classes = components(links).select(F.col("node").alias("bits"), F.col("root").alias("near_class"))
     like = lambda other: 1.0 - F.bit_count(F.col("bits").bitwiseXOR(F.col(other))) / F.lit(float(BITS))
     joined = rows.join(classes, "bits", "left")
     return joined.select(

@@ -247,6 +247,29 @@ def test_simhash_tables_find_every_fingerprint_within_the_radius(spark):
     assert sorted(map(sorted, got.values())) == groups(near, prints)
 
 
+def test_simhash_classes_hold_near_copies_beyond_the_radius(spark, tmp_path):
+    random = np.random.default_rng(3)
+    docs, pairs = [], []
+    for k in range(150):
+        words = [f"w{x}" for x in random.integers(0, 5_000, 300)]
+        other = list(words)
+        for at in random.choice(300, int(random.integers(1, 9)), replace=False):
+            other[at] = f"new{k}x{at}"
+        docs += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        a, b = (set(shingles([t])[0].tolist()) for t in (docs[-2][1], docs[-1][1]))
+        pairs.append((2 * k, 2 * k + 1, len(a & b) / len(a | b)))
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in simhash.query(spark, str(tmp_path)).collect()}
+    near = [(a, b) for a, b, s in pairs if s >= 0.8]
+    apart = [(int(rows[a]["fingerprint"], 16) ^ int(rows[b]["fingerprint"], 16)).bit_count() for a, b in near]
+    assert len(near) > 80 and sum(d > 3 for d in apart) > 40
+    assert sum(rows[a]["near_class"] == rows[b]["near_class"] for a, b in near) >= 0.99 * len(near)
+    for a, b, s in pairs:
+        within = (int(rows[a]["fingerprint"], 16) ^ int(rows[b]["fingerprint"], 16)).bit_count() <= 3
+        assert s >= 0.8 or within or rows[a]["near_class"] != rows[b]["near_class"]
+    assert len({r["near_class"] for r in rows.values()}) >= 150
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(7, 7), (200, 201), (201, 200)]
     got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
