@@ -25,6 +25,9 @@ CONFIDENT = 0.5
 #: Least share of a paragraph's known n-grams that the nearest template of its family holds, and of the template that
 #: the paragraph holds or of the paragraph that the template holds.
 SAME, COVERED = 0.5, 0.3
+#: Known pairs of words this far apart or nearer are one stretch: one changed word does not part a notice. A stretch with
+#: fewer known n-grams than the shortest template has is left out.
+GAP, LEAST = 3, 3
 #: Weights of n-grams are looked up in this many small maps.
 SHELVES = 64
 
@@ -83,6 +86,36 @@ def grams(text: Column) -> Column:
     return bound(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+", -1), ""), runs)
 
 
+def stretches(line: Column, known: list[str]) -> Column:
+    """The distinct known n-grams of each stretch of a line where they lie close together.
+
+    Sentences are cut first. Generic pairs such as "of the" elsewhere in the line, and other notices in it, take no part.
+    """
+
+    def of_words(words: Column) -> Column:
+        pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat_ws(" ", a, b))
+        hits = F.filter(F.transform(pairs, lambda g, i: F.struct(i.alias("at"), g.alias("pair"))), lambda x: x["pair"].isin(known))
+        triple = lambda at: F.concat_ws(" ", F.get(words, at), F.get(words, at + 1), F.get(words, at + 2))
+
+        def cut(found: Column) -> Column:
+            starts = F.filter(found, lambda x, k: (k == 0) | (x["at"] - F.get(found, k - 1)["at"] > GAP))
+
+            def each(firsts: Column) -> Column:
+                def grams_from(first: Column, k: Column) -> Column:
+                    end = F.coalesce(F.get(firsts, k + 1)["at"], F.lit(2**31 - 1))
+                    own = F.filter(found, lambda x: (x["at"] >= first["at"]) & (x["at"] < end))
+                    return bound(own, lambda o: F.array_distinct(F.concat(F.transform(o, lambda x: x["pair"]), F.filter(F.transform(o, lambda x: triple(x["at"])), lambda g: g.isin(known)))))
+
+                return F.transform(firsts, grams_from)
+
+            return bound(starts, each)
+
+        return F.filter(bound(hits, cut), lambda g: F.size(g) >= LEAST)
+
+    sentences = F.split(line, r"(?<=[.!?])\s+", -1)
+    return F.flatten(F.transform(sentences, lambda t: bound(F.array_remove(F.split(F.lower(t), r"[^\p{L}\p{N}]+", -1), ""), of_words)))
+
+
 def paragraphs(text: Column) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda p: F.trim(p) != "")
 
@@ -190,8 +223,9 @@ def classify_paragraph(known: Column, model: Model) -> Column:
 def scan_licenses(docs: DataFrame, model: Model | None = None, text: str = "text") -> DataFrame:
     """`docs` with `licenses`: paragraph number, family, probability and likeness of every paragraph that is a notice.
 
-    Each line is a paragraph, taken as its distinct n-grams of two and three words. Those of the templates carry weights;
-    a paragraph with fewer than one is unknown without further work. The class with the greatest probability must be a
+    Each line is a paragraph, taken as its distinct n-grams of two and three words, and so is each stretch of a line where
+    n-grams of templates lie close together: a line may hold notices amid other text, and of several families, each
+    listed once. N-grams of the templates carry weights; a paragraph without any is unknown without further work. The class with the greatest probability must be a
     family and reach CONFIDENT after calibration, and a template of that family must confirm it. Nothing is shuffled.
 
     Null and empty texts have an empty list. Repeated rows and other columns pass through, an empty table gives an empty
@@ -202,11 +236,14 @@ def scan_licenses(docs: DataFrame, model: Model | None = None, text: str = "text
     known = sorted(model.weights)
     held = temp("held")
     lines = paragraphs(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    matched = F.transform(lines, lambda p, i: F.struct(i.alias("paragraph"), F.filter(grams(p), lambda g: g.isin(known)).alias("grams")))
+    parts = lambda p: F.concat(F.array(F.filter(grams(p), lambda g: g.isin(known))), stretches(p, known))
+    matched = F.flatten(F.transform(lines, lambda p, i: F.transform(F.array_distinct(parts(p)), lambda g: F.struct(i.alias("paragraph"), g.alias("grams")))))
     few = docs.withColumn(held, F.filter(matched, lambda m: F.size(m["grams"]) > 0))
     judged = F.transform(held, lambda m: bound(classify_paragraph(m["grams"], model), lambda d: F.struct(m["paragraph"].cast("int").alias("paragraph"), d["family"].alias("family"), d["probability"].alias("probability"), d["likeness"].alias("likeness"))))
     sure = F.filter(judged, lambda d: (d["family"] != UNKNOWN) & (d["probability"] >= CONFIDENT) & (d["likeness"] >= COVERED))
-    return few.withColumn("licenses", sure).drop(held)
+    same = lambda d, e: (d["paragraph"] == e["paragraph"]) & (d["family"] == e["family"])
+    once = bound(sure, lambda found: F.filter(found, lambda d, k: ~F.exists(F.slice(found, F.lit(1), k), lambda e: same(d, e))))
+    return few.withColumn("licenses", once).drop(held)
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:

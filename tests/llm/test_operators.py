@@ -383,6 +383,17 @@ def test_licenses(spark, corpus):
     assert licenses.scan_licenses(odd(spark), model).count() == len(TEXTS) and licenses.scan_licenses(empty(spark), model).count() == 0
 
 
+def test_licenses_inside_long_lines(spark):
+    model = licenses.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
+    prose = " ".join(["The end of the road lay in the valley, and to the north of the river a mill stood under the trees. If you can see it, you may have a copy of the map, or the owner of this house can tell."] * 3)
+    notices = {"All rights reserved.": "proprietary", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache"}
+    rows = [(f"{prose} {notice} {tail}".strip(), [family]) for notice, family in notices.items() for tail in ("", prose)]
+    rows += [(f"{prose} Released under the MIT License. {prose} Licensed under CC BY-NC 4.0.", ["cc-by-nc", "mit"]), (prose, [])]
+    rows.append(("Released under the MIT License. Licensed under the Apache License, Version 2.0.", ["apache", "mit"]))
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "text string, families array<string>"), model).collect()
+    assert [sorted(x["family"] for x in r["licenses"]) for r in got] == [r["families"] for r in got]
+
+
 def test_pipeline(spark):
     import corpus_pipeline as cp
 
