@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +37,18 @@ _GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in name
 _WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+)?"
 _TITLE = "|".join(sorted((t for some in TITLES.values() for t in some), key=len, reverse=True))
 _NAMES = "|".join(sorted(_GENDER, key=len, reverse=True))
+#: Combining marks, which \w leaves out, and scripts written without blanks between words: there an address may touch
+#: the text around it, so its parts are of such a script throughout or not at all.
+_MARK = re.escape("".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M"))
+_DENSE = "\u0e00-\u0eff\u1000-\u109f\u1100-\u11ff\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3130-\u318f\u3400-\u4dbf\u4e00-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff"
+_LETTER, _LABEL = rf"[^\W{_DENSE}]", rf"(?:[^\W_{_DENSE}]|[{_MARK}-])+"
+_MAIL = (
+    rf"(?:(?<![._%+-])(?<!{_LETTER})(?<![{_MARK}]){_LETTER}(?:{_LETTER}|[{_MARK}.%+-])*|(?<![._%+{_DENSE}-])[{_DENSE}][{_DENSE}{_MARK}0-9._%+-]*)"
+    rf"@(?:(?:{_LABEL}|[{_DENSE}{_MARK}0-9-]+)\.)+(?:xn--[A-Za-z0-9-]+|[^\W\d_{_DENSE}](?:[^\W\d_{_DENSE}]|[{_MARK}])+|[{_DENSE}][{_DENSE}{_MARK}]+)"
+)
 #: Kinds in order of precedence where matches overlap.
 PATTERNS = (
-    ("email", re.compile(r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
+    ("email", re.compile(_MAIL)),
     ("ip", re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)", re.ASCII)),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", re.ASCII)),
     ("card", re.compile(r"(?<![\w.+-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\w-])", re.ASCII)),
@@ -53,6 +65,8 @@ def detect(text: str) -> list[tuple[str, int, int]]:
     found: list[tuple[str, int, int]] = []
     taken: list[tuple[int, int]] = []
     for kind, pattern in PATTERNS:
+        if kind == "email" and "@" not in text:
+            continue
         for match in pattern.finditer(text):
             start, end = match.span()
             if all(end <= a or start >= b for a, b in taken):
@@ -69,13 +83,18 @@ def _bare(text: str) -> str:
     return re.sub(r"[^0-9A-Za-z]", "", text)
 
 
+def _lower(text: str) -> str:
+    """In lower case, letter by letter, so that the length stays."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
 def parts(kind: str, text: str) -> list[tuple[str, str, int, int]]:
     """What a surrogate is chosen for: (kind, canonical value, start, end) inside an entity's text.
 
     A person is a given and a family name, each with a surrogate of its own, so that "Mr Weber" and "Paul Weber" agree.
     """
     if kind == "email":
-        return [("email", text.lower(), 0, len(text))]
+        return [("email", _lower(text), 0, len(text))]
     if kind != "person":
         return [(kind, _bare(text), 0, len(text))]
     words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^ ]+", text)]
@@ -114,6 +133,13 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+@lru_cache(maxsize=4096)
+def _kin(block: int) -> str:
+    """Letters in lower case, or without case, among the 128 characters of a block; a-z for Latin ones."""
+    near = [chr(c) for c in range(block * 128, block * 128 + 128)] if block > 4 else []
+    return "".join(c for c in near if c.isalpha() and c.lower() == c and len(c.upper()) == 1 and c.upper().lower() == c) or "abcdefghijklmnopqrstuvwxyz"
+
+
 def _alike(text: str, stream: _Stream) -> str:
     """Another character of the same class for each letter and digit; a leading digit is never 0."""
     out = []
@@ -124,6 +150,9 @@ def _alike(text: str, stream: _Stream) -> str:
             out.append(chr(97 + stream.below(26)))
         elif "A" <= ch <= "Z":
             out.append(chr(65 + stream.below(26)))
+        elif ch.isalpha():
+            kin = _kin(ord(ch) // 128)
+            out.append(kin[stream.below(len(kin))])
         else:
             out.append(ch)
     return "".join(out)
@@ -163,7 +192,7 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
 def _poured(kind: str, shown: str, chosen: str) -> str:
     """The surrogate in the format in which the entity is shown."""
     if kind == "email":
-        return "".join(c.upper() if s.isupper() else c for s, c in zip(shown, chosen, strict=True))
+        return "".join(c.upper() if s.isupper() and len(c.upper()) == 1 else c for s, c in zip(shown, chosen, strict=True))
     if kind.startswith(("given", "family")) or kind == "ip":
         return chosen
     left = iter(chosen)

@@ -368,6 +368,19 @@ def test_pii(spark, corpus):
     assert pii.replace_pii(odd(spark)).count() == len(TEXTS) and pii.replace_pii(empty(spark)).count() == 0
 
 
+def test_pii_finds_emails_of_any_script(spark):
+    plain = {"jörg@web.de": 0, "josé.garcia@correo.es": 0, "info@münchen.de": 0, "_john@example.com": 0, "联系user@example.com": 2, "иван@почта.рф": 0, "用户@例子.中国": 0, "jose\u0301@web.de": 0, "Jörg.İ@WEB.DE": 0}
+    for text, start in plain.items():
+        assert pii.detect(f"a {text}, b") == [("email", 2 + start, 2 + len(text))]
+    assert pii.detect("写信到user@example.com联系我") == [("email", 3, 19)] and pii.detect("a@b and @name x@y.") == []
+    rows = pii.replace_pii(spark.createDataFrame([(t, t) for t in plain], "was string, text string")).collect()
+    assert len({r["text"] for r in rows}) == len(plain)
+    for text, now in ((r["was"], r["text"]) for r in rows):
+        start = plain[text]
+        old, shown = text[start:].partition("@")[0], now[start:].partition("@")[0]
+        assert now != text and len(pii.detect(now)) == 1 and old not in now and len(shown) == len(old)
+
+
 def test_licenses(spark, corpus):
     planted = {"Licensed under CC BY-NC 4.0.": "cc-by-nc", "GNU General Public License, version 3.": "gpl", "Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "All rights reserved.": "proprietary"}
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
