@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ravelin.llm.common import arrow_batches, slices, stored, table, temp, texts_of
 
 KEY = b"ravelin surrogate key"
-#: Attempts at a surrogate that no other entity has; each leaves a small share of the entities open.
-ATTEMPTS = 40
+#: Attempts at a surrogate that no other entity has; each leaves a small share of the entities open. From attempt WIDER on
+#: short shapes grow, so that there are always free values.
+ATTEMPTS, WIDER = 40, 8
 
 #: Titles by gender, and given names by script and gender.
 TITLES = {"f": ("Mrs", "Ms", "Miss", "Frau", "Mme", "Madame", "Sra", "Señora"), "m": ("Mr", "Herr", "M", "Monsieur", "Sr", "Señor"), "": ("Dr", "Prof")}
@@ -160,14 +161,15 @@ def _alike(text: str, stream: _Stream) -> str:
 
 def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
     """A canonical value of the same kind and shape, fixed by the key, the value and the attempt."""
-    stream = _Stream(key, kind, value, attempt)
+    stream, more = _Stream(key, kind, value, attempt), max(0, attempt - WIDER + 1)
     if kind == "email":
         local, _, domain = value.partition("@")
+        local += "x" * (2 * more)
         labels = domain.split(".")
         return _alike(local, stream) + "@" + ".".join([*(_alike(x, stream) for x in labels[:-1]), labels[-1]])
     if kind == "ip":
         ranges = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
-        spans = [ranges[len(octet)] for octet in value.split(".")]
+        spans = [(1, 254) if more else ranges[len(octet)] for octet in value.split(".")]
         return ".".join(str(low + stream.below(high - low + 1)) for low, high in spans)
     if kind == "card":
         made = _alike(value, stream)
@@ -177,12 +179,14 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
                 return made[:-1] + str(last)
     if kind == "phone" and len(value) == 11 and value[0] == "1":  # the country code says where, not who
         return "1" + _alike(value[1:], stream)
+    if kind == "phone" and len(value) < 9:
+        return _alike(value + "0" * more, stream)
     if kind == "iban":
         return value[:2] + _alike(value[2:], stream)
     if kind.startswith("given"):
         _, script, gender = kind.split(":")
         names = GIVEN[script, gender]
-        return names[stream.below(len(names))] + "".join(SYLLABLES[script][stream.below(len(SYLLABLES[script]))] for _ in range(min(attempt, 3)))
+        return names[stream.below(len(names))] + "".join(SYLLABLES[script][stream.below(len(SYLLABLES[script]))] for _ in range(min(attempt, 3) + more))
     if kind.startswith("family"):
         syllables = SYLLABLES[kind.split(":")[1]]
         return "".join(syllables[stream.below(len(syllables))] for _ in range(max(3, min(6, len(value) // 2)) + attempt // 4)).capitalize()
@@ -192,11 +196,13 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
 def _poured(kind: str, shown: str, chosen: str) -> str:
     """The surrogate in the format in which the entity is shown."""
     if kind == "email":
-        return "".join(c.upper() if s.isupper() and len(c.upper()) == 1 else c for s, c in zip(shown, chosen, strict=True))
+        local, _, domain = shown.partition("@")
+        padded = local + "x" * (chosen.index("@") - len(local)) + "@" + domain  # the local part may have grown
+        return "".join(c.upper() if s.isupper() and len(c.upper()) == 1 else c for s, c in zip(padded, chosen, strict=True))
     if kind.startswith(("given", "family")) or kind == "ip":
         return chosen
     left = iter(chosen)
-    return "".join(next(left) if re.match("[0-9A-Za-z]", ch) else ch for ch in shown)
+    return "".join(next(left) if re.match("[0-9A-Za-z]", ch) else ch for ch in shown) + "".join(left)
 
 
 def _canonical(kind: str, text: str) -> list[tuple[str, str, int, int]]:

@@ -381,6 +381,16 @@ def test_pii_finds_emails_of_any_script(spark):
         assert now != text and len(pii.detect(now)) == 1 and old not in now and len(shown) == len(old)
 
 
+def test_pii_surrogates_of_a_crowded_shape(spark):
+    ips = [("ip", f"{a}.{b}.{c}.{d}") for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 8)]
+    mails = [("email", f"{chr(97 + a)}@{chr(97 + b)}.de") for a in range(26) for b in range(26)]
+    chosen = pii.choose_surrogates(spark.createDataFrame(ips + mails, "kind string, value string")).collect()
+    originals, given = set(ips + mails), {(r["kind"], r["surrogate"]) for r in chosen}
+    assert {(r["kind"], r["value"]) for r in chosen} == originals and len(given) == len(originals) and not given & originals
+    for r in chosen:
+        assert [k for k, _, _ in pii.detect(pii._poured(r["kind"], r["value"].upper(), r["surrogate"]))] == [r["kind"]]
+
+
 def test_licenses(spark, corpus):
     planted = {"Licensed under CC BY-NC 4.0.": "cc-by-nc", "GNU General Public License, version 3.": "gpl", "Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "All rights reserved.": "proprietary"}
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
