@@ -6,6 +6,7 @@ import hashlib
 import re
 import sys
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -28,12 +29,17 @@ GIVEN = {
     ("cyrillic", "f"): "Анна Вера Дарья Елена Ирина Мария Нина Ольга Софья Юлия".split(),
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Иван Максим Олег Павел Роман Юрий".split(),
 }
+#: Given names that tell a person besides those that surrogates are drawn from, by gender.
+MORE_GIVEN = {
+    "f": "Amanda Andrea Angela Barbara Beatriz Carmen Caroline Catherine Charlotte Christine Claudia Daniela Deborah Diana Elizabeth Emily Eva Francesca Gabriela Hannah Heidi Helen Ingrid Isabel Jane Jennifer Jessica Johanna Karen Katharina Kate Laurence Linda Lisa Lucia Margaret Marie Mary Melissa Michelle Monika Nadia Nancy Natalia Nicole Patricia Pilar Rachel Rebecca Ruth Sabine Sandra Sarah Sophie Stephanie Susan Teresa Ursula Victoria Анастасия Валентина Галина Екатерина Людмила Наталья Светлана Татьяна".split(),
+    "m": "Alan Alejandro Alexander Andreas Andrew Antonio Benjamin Brian Carlos Charles Christian Daniel Diego Dieter Edward Eric Fernando Francisco Frank François George Hans Henry Jack Jacques James Javier Jean Johannes John Jonas Jorge Joseph José Juan Jürgen Karl Kevin Klaus Louis Lukas Manuel Mark Martin Matthew Michael Michel Miguel Nicolas Pablo Patrick Pedro Philippe Pierre Ralf Richard Robert Stefan Stephen Steven Thomas Timothy William Wolfgang Александр Алексей Андрей Владимир Дмитрий Михаил Николай Пётр Сергей".split(),
+}
 #: Syllables of surrogate family names.
 SYLLABLES = {
     "latin": "ba be bo da de do fa fe ga go ka ke ko la le lo ma me mo na ne no pa pe ra re ro sa se so ta te to va ve vo".split(),
     "cyrillic": "ба бе бо ва ве го да де ка ко ла ле ма ми на не по ра ре са со та те".split(),
 }
-_GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in names}
+_GENDER = {name: gender for gender, names in MORE_GIVEN.items() for name in names} | {name: gender for (_, gender), names in GIVEN.items() for name in names}
 
 _WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+)?"
 _TITLE = "|".join(sorted((t for some in TITLES.values() for t in some), key=len, reverse=True))
@@ -62,7 +68,10 @@ POSSIBLE = rf"[0-9@]|(?=[A-ZÀ-ÖØ-ÞА-ЯЁ])(?:{_TITLE}|{_NAMES})[. ]"
 
 
 def detect(text: str) -> list[tuple[str, int, int]]:
-    """Entities (kind, start, end) by start, without overlaps."""
+    """Entities (kind, start, end) by start, without overlaps.
+
+    A name of a person found in the text is an entity wherever else it stands alone, of the kind of its part (family or given).
+    """
     found: list[tuple[str, int, int]] = []
     taken: list[tuple[int, int]] = []
     for kind, pattern in PATTERNS:
@@ -73,6 +82,18 @@ def detect(text: str) -> list[tuple[str, int, int]]:
             if all(end <= a or start >= b for a, b in taken):
                 found.append((kind, start, end))
         taken = [(s, e) for _, s, e in found]
+    names: dict[str, str] = {}
+    for part, name, _, _ in (x for kind, s, e in found if kind == "person" for x in parts(kind, text[s:e])):
+        names[name] = min(names.get(name, part), part)  # family before given
+    if names:
+        taken = sorted(taken)
+        starts = [s for s, _ in taken]
+        listed = "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True))
+        for match in re.finditer(rf"(?<![\w@])(?:{listed})(?!\w)", text):
+            start, end = match.span()
+            at = bisect_right(starts, start)
+            if (not at or taken[at - 1][1] <= start) and (at == len(taken) or starts[at] >= end):
+                found.append((names[match.group()], start, end))
     return sorted(found, key=lambda x: x[1])
 
 
@@ -206,7 +227,7 @@ def _poured(kind: str, shown: str, chosen: str) -> str:
 
 
 def _canonical(kind: str, text: str) -> list[tuple[str, str, int, int]]:
-    return [("ip", text, 0, len(text))] if kind == "ip" else parts(kind, text)
+    return [(kind, text, 0, len(text))] if kind == "ip" or kind.startswith(("family", "given")) else parts(kind, text)
 
 
 _NODE, _MAP = temp("node"), temp("surrogates")

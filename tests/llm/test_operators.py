@@ -391,6 +391,15 @@ def test_pii_surrogates_of_a_crowded_shape(spark):
         assert [k for k, _, _ in pii.detect(pii._poured(r["kind"], r["value"].upper(), r["surrogate"]))] == [r["kind"]]
 
 
+def test_pii_replaces_later_mentions_of_a_name(spark):
+    rows = [(1, "Mrs Weber met Paul Weber. Weber paid, and Weber's car left; then Paul slept. Weberei stays."), (2, "Robert Miller came. Miller left."), (3, "Weber alone is no entity.")]
+    new = {r["doc_id"]: r for r in pii.replace_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [new[k]["n_entities"] for k in (1, 2, 3)] == [5, 2, 0] and new[3]["text"] == rows[2][1]
+    first = re.fullmatch(r"Mrs (\w+) met (\w+) \1\. \1 paid, and \1's car left; then \2 slept\. Weberei stays\.", new[1]["text"])
+    assert first and first[1] != "Weber" and first[2] != "Paul"
+    assert re.fullmatch(r"\w+ (\w+) came\. \1 left\.", new[2]["text"]) and "Miller" not in new[2]["text"] and "Robert" not in new[2]["text"]
+
+
 def test_licenses(spark, corpus):
     planted = {"Licensed under CC BY-NC 4.0.": "cc-by-nc", "GNU General Public License, version 3.": "gpl", "Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "All rights reserved.": "proprietary"}
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
