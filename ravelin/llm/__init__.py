@@ -19,6 +19,9 @@ MODULES = {
     "op8_quality_rules": "quality_rules",
     "op9_near_dedup": "near_dedup",
     "op10_url_filter": "url_filter",
+    "op11_ranked_search": "ranked_search",
+    "op12_simhash_dedup": "hamming_dedup",
+    "op13_hard_negatives": "hard_negatives",
 }
 
 

@@ -20,11 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str | int) -> DataFrame:
     """Write `df` once to the shared folder and go on from the files: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/ravelin-llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.options(**options).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
