@@ -18,7 +18,7 @@ from ravelin.session import broadcast_if_small
 
 TOP = 20
 #: A shard, the grid of one treap, ends with the document that reaches one of these.
-POSTINGS, DOCS = 1 << 21, 1 << 14
+POSTINGS, DOCS = 1 << 19, 1 << 14
 #: Items of a block of queries, and ranges of documents that descend at a time.
 ITEMS, AT_ONCE = 256, 64
 #: Inner cells hold their maximum in units of this many, rounded up; an impact is below 1,000,000, so 16 bits are enough.
