@@ -82,7 +82,7 @@ def _spread(rows: DataFrame, width: int) -> DataFrame:
     return rows.select("bits", F.inline(F.concat(_ball(high, low, path, width), _ball(low, high, path + F.lit(1 << width).cast("long"), width))))
 
 
-def _forest(members: np.ndarray) -> tuple[list[int], list[int]]:
+def _forest(members: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     """Links that join all members that a chain of links within the radius joins: each to the one that first reaches it."""
     left, right, rest = [], [], members
     while len(rest):
@@ -92,7 +92,7 @@ def _forest(members: np.ndarray) -> tuple[list[int], list[int]]:
             kept = []
             for at in range(0, len(rest), TILE):
                 tile = rest[at : at + TILE]
-                near = np.bitwise_count(some[:, None] ^ tile[None, :]) <= RADIUS  # of unsigned numbers, as signed ones lose their sign
+                near = np.bitwise_count(some[:, None] ^ tile[None, :]) <= radius  # of unsigned numbers, as signed ones lose their sign
                 reached = near.any(axis=0)
                 left += some[near[:, reached].argmax(axis=0)].tolist()
                 right += tile[reached].tolist()
@@ -105,7 +105,7 @@ def _forest(members: np.ndarray) -> tuple[list[int], list[int]]:
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verify(radius: int):
     """Links within each bucket; rows come sorted by key, and a bucket may go on in the next batch."""
 
     def links(keys: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
@@ -113,34 +113,37 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(edges)
         pairs = edges[:-1][sizes == 2]
         a, b = bits[pairs], bits[pairs + 1]
-        near = (np.bitwise_count(a ^ b) <= RADIUS) & (a != b)
+        near = (np.bitwise_count(a ^ b) <= radius) & (a != b)
         left, right = a[near].tolist(), b[near].tolist()
         for k in np.flatnonzero(sizes > 2).tolist():
-            some = _forest(np.unique(bits[edges[k] : edges[k + 1]]))
+            some = _forest(np.unique(bits[edges[k] : edges[k + 1]]), radius)
             left += some[0]
             right += some[1]
         return arrow_batches({c: np.array(x, np.uint64).astype(np.int64) for c, x in (("a", left), ("b", right))}, _LINKS)
 
-    keys, bits = np.empty(0, np.int64), np.empty(0, np.uint64)
-    for batch in batches:
-        keys = np.concatenate([keys, batch.column("key").to_numpy()])
-        bits = np.concatenate([bits, batch.column("bits").to_numpy().view(np.uint64)])
-        if not len(keys):
-            continue
-        last = np.searchsorted(keys, keys[-1])  # keys are ascending
-        if last:
-            yield links(keys[:last], bits[:last])
-            keys, bits = keys[last:], bits[last:]
-    if len(keys):
-        yield links(keys, bits)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, bits = np.empty(0, np.int64), np.empty(0, np.uint64)
+        for batch in batches:
+            keys = np.concatenate([keys, batch.column("key").to_numpy()])
+            bits = np.concatenate([bits, batch.column("bits").to_numpy().view(np.uint64)])
+            if not len(keys):
+                continue
+            last = np.searchsorted(keys, keys[-1])  # keys are ascending
+            if last:
+                yield links(keys[:last], bits[:last])
+                keys, bits = keys[last:], bits[last:]
+        if len(keys):
+            yield links(keys, bits)
 
+    return run
 
-def _matched(rows: DataFrame) -> DataFrame:
-    return rows.select("key", "bits").repartition("key").sortWithinPartitions("key").mapInArrow(_verify, "a long, b long")
 
+def _matched(rows: DataFrame, radius: int) -> DataFrame:
+    return rows.select("key", "bits").repartition("key").sortWithinPartitions("key").mapInArrow(_verify(radius), "a long, b long")
 
-def near_links(bits: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """Links (a, b) that connect all fingerprints (`bits`) within RADIUS of each other, directly or in a chain.
+
+def near_links(bits: DataFrame, crowded: int = CROWDED, radius: int = RADIUS) -> DataFrame:
+    """Links (a, b) that connect all fingerprints (`bits`) within `radius` (3 at most) of each other, directly or in a chain.
 
     Of two fingerprints within 3 bits one half differs in one bit at most, so both enter a common bucket of that half's
     table. Buckets are counted first. One with more than `crowded` fingerprints is indexed again by the quarters of its
@@ -155,7 +158,7 @@ def near_links(bits: DataFrame, crowded: int = CROWDED) -> DataFrame:
         if width != SEGMENTS[-1]:
             full = broadcast_if_small(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > crowded).select("key"))
             full = full if full.head(1) else None
-        found = _matched(rows if full is None else rows.join(full, "key", "left_anti"))
+        found = _matched(rows if full is None else rows.join(full, "key", "left_anti"), radius)
         links = found if links is None else links.unionAll(found)
         if full is None:
             return links

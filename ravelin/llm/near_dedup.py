@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ravelin.llm.common import arrow_batches, arrow_rows, slices, stored, table, texts_of
+from ravelin.llm.common import arrow_batches, arrow_rows, slices, stored, table, temp, texts_of
 from ravelin.llm.components import components
 from ravelin.llm.shingles import mix, shingles
 from ravelin.session import broadcast_if_small
@@ -293,18 +293,24 @@ def stray_links(rows: DataFrame, signed: DataFrame, roots: DataFrame, shared, th
     """Links (a, b) between the roots of components that texts of one bucket join.
 
     Of each bucket with several components, the members outside the largest are strays; they meet all its members in a
-    grid of cells of bounded sides. At most one link of two components comes out of a cell.
+    grid of cells of bounded sides. At most one link of two components comes out of a cell. Of buckets with the same
+    members (by number, least, greatest and sum of hashes) the one of the first band stands for all.
     """
     texts = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    members = texts.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"), "bands", F.posexplode("bands").alias("band", "key"))
-    counted = members.groupBy("band", "key", "root").agg(F.count("*").alias("n")).groupBy("band", "key")
-    mixed = counted.agg(F.count("*").alias("roots"), F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("largest"))
+    spot = F.xxhash64("node")
+    members = texts.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"), F.posexplode("bands").alias("band", "key"))
+    apart = members.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("band", "key")
+    members = stored(members.join(broadcast_if_small(apart), ["band", "key"]), "mixed")  # of buckets with several components only
+    counted = members.groupBy("band", "key", "root").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"), F.sum(spot.cast("decimal(38,0)")).alias("mark")).groupBy("band", "key")
+    several = counted.agg(F.sum("n").alias("n"), F.max("n").alias("top"), F.max_by("root", F.struct("n", "root")).alias("largest"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("mark").alias("mark"))
+    mixed = several.groupBy("n", "low", "high", "mark").agg(F.min_by(F.struct(*several.columns), F.struct("band", "key")).alias("one")).select("one.*")
     sides = F.ceil((F.col("n") - F.col("top")) / CELL_STRAYS).alias("is"), F.ceil(F.col("n") / CELL_MEMBERS).alias("js")
-    met = stored(members.join(mixed.where("roots > 1").select("band", "key", "largest", *sides), ["band", "key"]).withColumn("main", F.col("root") == F.col("largest")), "met")
+    met = members.join(mixed.select("band", "key", "largest", *sides), ["band", "key"]).withColumn("main", F.col("root") == F.col("largest"))
+    met = stored(met.join(texts.select("node", "bands"), "node"), "met")
     needs = broadcast_if_small(met.select("node", F.col("doc_id").alias("row_id")).distinct())  # two ids a row; beyond the bound by shuffle
     bags = rows.join(needs, "node").where(F.col("doc_id").eqNullSafe(F.col("row_id"))).select("node", "text").mapInArrow(_bags(shared), "node binary, hashes binary, weights binary")
     whole = met.join(stored(bags, "bags").dropDuplicates(["node"]), "node")
-    spot, every = F.xxhash64("node"), lambda side: F.explode(F.sequence(F.lit(0).cast("long"), F.col(side) - 1))
+    every = lambda side: F.explode(F.sequence(F.lit(0).cast("long"), F.col(side) - 1))
     kept = ("band", "key", "i", "j", "stray", "node", "root", "main", "bands", "hashes", "weights")
     strays = whole.where("not main").withColumns({"i": F.pmod(spot, "is"), "j": every("js"), "stray": F.lit(0)})
     passing = whole.withColumns({"i": every("is"), "j": F.pmod(spot, "js"), "stray": F.lit(1)})
@@ -339,12 +345,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`docs` with one row of each class of near copies: the one of the least id, then of the least text hash."""
-    node = "__ravelin_node"
+    node, kept_id, kept_node = temp("node"), temp("kept_id"), temp("kept_node")
     classes = near_duplicates(docs, threshold)
     kept = classes.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("node")).alias("own")).agg(F.min(F.struct(F.col("doc_id"), F.col("node"))).alias("kept"))
-    kept = kept.select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.node").alias("kept_node"))
+    kept = kept.select(F.col("kept.doc_id").alias(kept_id), F.col("kept.node").alias(kept_node))
     rows = docs.withColumn(node, node_of(F.col("text")))
-    chosen = rows.join(kept, (F.col(node) == F.col("kept_node")) & F.col("doc_id").eqNullSafe(F.col("kept_id"))).drop("kept_id", "kept_node")
+    chosen = rows.join(kept, (F.col(node) == F.col(kept_node)) & F.col("doc_id").eqNullSafe(F.col(kept_id))).drop(kept_id, kept_node)
     return chosen.dropDuplicates([node]).drop(node)
 
 

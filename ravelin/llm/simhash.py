@@ -8,14 +8,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ravelin.llm import hamming_dedup
 from ravelin.llm.common import arrow_batches, arrow_rows, slices, stored, table, temp, texts_of
 from ravelin.llm.components import components
 from ravelin.llm.near_dedup import BATCH_ROWS, candidate_pairs, node_of, stray_links, verified_links
 from ravelin.llm.shingles import mix, shingles
+from ravelin.session import broadcast_if_small
 
 BITS, RADIUS = 64, 3
 #: Texts that share this part of their distinct shingles are near copies. Their fingerprints differ in about 10 bits at
@@ -26,6 +29,8 @@ BANDS, ROWS = 12, 4
 BLOCKS = 6
 #: Fingerprints of a bucket compared at a time.
 TILE = 2_048
+#: Fingerprints of a bucket that are searched in one task.
+CROWDED = 8_192
 
 _SIGNS = (2 * np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64) - 1)
 
@@ -101,11 +106,23 @@ def _open(doc_id, text: str, part: int, place: int) -> pa.RecordBatch:
     return arrow_batches({f.name: [None] for f in _OUT} | {"doc_id": [doc_id], "part": [part], "place": [place], "text": [text]}, _OUT)
 
 
+_SMALL = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("packed", pa.binary())])
+
+
+def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the way through the sort."""
+    small = zstandard.ZstdCompressor()
+    for some in slices(batches):
+        packed = [small.compress(t) for t in some.column("text").cast(pa.binary()).to_pylist()]
+        yield arrow_batches({"doc_id": some.column("doc_id"), "tie": some.column("tie"), "packed": packed}, _SMALL)
+
+
 def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order of id: each text with the next one of the partition. The first text and the last row stay open."""
-    part, held = TaskContext.get().partitionId(), None
+    part, held, whole = TaskContext.get().partitionId(), None, zstandard.ZstdDecompressor()
     for some in slices(batches):
-        ids, texts = some.column("doc_id").to_pylist(), texts_of(some)
+        ids = some.column("doc_id").to_pylist()
+        texts = [whole.decompress(t).decode("utf-8", "surrogatepass") for t in some.column("packed").to_pylist()]
         if held is None:
             yield _open(None, texts[0], part, _FIRST)
         else:
@@ -132,8 +149,9 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     comes the first. A single document follows itself. Null text counts as empty. An empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    along = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_along, _OUT_SQL), "edits")
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    small = rows.withColumn("tie", F.xxhash64("text")).mapInArrow(_shrink, "doc_id long, tie long, packed binary")
+    along = stored(small.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_along, _OUT_SQL), "edits")
     parts = sorted(r[0] for r in along.where(F.col("place") == _FIRST).select("part").collect())  # one number for each task
     after = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, next_part int")
     firsts = along.where(F.col("place") == _FIRST).select(F.col("part").alias("next_part"), F.col("text").alias("following"))
@@ -187,11 +205,11 @@ def _bucket_links(radius: int):
         run_of: list[np.ndarray] = []
 
         def flush():
-            members = np.unique(np.concatenate(run_of)) if run_of else np.empty(0, np.int64)
+            members = np.unique(np.concatenate(run_of).view(np.uint64)) if run_of else np.empty(0, np.uint64)
             if len(members) > 1:
                 left, right = forest(members)
                 if left:
-                    yield arrow_batches({"a": left, "b": right}, out)
+                    yield arrow_batches({c: np.array(x, np.uint64).astype(np.int64) for c, x in (("a", left), ("b", right))}, out)
 
         for batch in batches:
             tables, buckets, bits = (batch.column(c).to_numpy() for c in (_TABLE, _BUCKET, "bits"))
@@ -212,17 +230,27 @@ def _bucket_links(radius: int):
     return run
 
 
-def near_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def near_links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, crowded: int = CROWDED) -> DataFrame:
     """Links (a, b) that connect all fingerprints (`bits`) within `radius` of each other, directly or in a chain.
 
     Each distinct fingerprint enters one table for each choice of blocks; two within the radius agree in all blocks of one
-    table at least, so no link is missed. Only links that join two groups of a bucket are given out, so a bucket of m gives m - 1 at most.
+    table at least, so no link is missed. Only links that join two groups of a bucket are given out, so a bucket of m gives
+    m - 1 at most. Buckets are counted first: the fingerprints of those with more than `crowded` are linked by the tables
+    of hamming_dedup, which split a crowded bucket further (for a radius of 3, theirs).
     """
     distinct = prints.select("bits").where("bits is not null").distinct()
     tables = F.array(*(F.struct(F.lit(k).alias(_TABLE), F.col("bits").bitwiseAND(F.lit(_signed(m))).alias(_BUCKET)) for k, m in enumerate(masks(BITS, blocks, radius))))
     dealt = distinct.select("bits", F.inline(tables))
+    rest = None
+    if radius <= hamming_dedup.RADIUS:
+        full = broadcast_if_small(dealt.groupBy(_TABLE, _BUCKET).agg(F.count("*").alias("n")).where(F.col("n") > crowded).select(_TABLE, _BUCKET))
+        if full.head(1):
+            crowd = dealt.join(full, [_TABLE, _BUCKET], "left_semi").select("bits").distinct()
+            rest = hamming_dedup.near_links(crowd, radius=radius)
+            dealt = dealt.join(full, [_TABLE, _BUCKET], "left_anti")
     sorted_buckets = dealt.repartition(_TABLE, _BUCKET).sortWithinPartitions(_TABLE, _BUCKET)
-    return sorted_buckets.mapInArrow(_bucket_links(radius), "a long, b long")
+    links = sorted_buckets.mapInArrow(_bucket_links(radius), "a long, b long")
+    return links if rest is None else links.unionAll(rest)
 
 
 def near_classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
