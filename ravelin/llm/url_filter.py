@@ -15,7 +15,6 @@ from ravelin.llm.common import table, temp
 MAX_FILTER_BYTES = 64 << 20
 BITS_PER_RULE = 16
 BLOCK_WORDS = 8  # a block is 8 words of 64 bits: one cache line
-DISTINCT_LENGTHS = 4_096
 #: Rules up to this many are joined by broadcast: at most a few MB, the rule texts being counted too.
 BROADCAST_RULES, BROADCAST_BYTES = 50_000, 8 << 20
 
@@ -67,10 +66,11 @@ def _partial_filter(blocks: int):
 
 
 def build_filter(rules: DataFrame, count: int) -> np.ndarray:
-    """The blocked Bloom filter of the rules' keys. Each task sets bits in its own copy; copies are merged by block."""
-    blocks = int(np.clip(-(-count * BITS_PER_RULE // (BLOCK_WORDS * 64)), 1, MAX_FILTER_BYTES // (BLOCK_WORDS * 8)))
+    """The blocked Bloom filter of `count` rules' hosts and whole keys. Each task sets bits in its own copy; copies are merged by block."""
+    keys = rules.select(F.explode(F.array(_key_hash(F.col("host"), F.col("path")), _host_hash(F.col("host")))).alias("hash"))
+    blocks = int(np.clip(-(-2 * count * BITS_PER_RULE // (BLOCK_WORDS * 64)), 1, MAX_FILTER_BYTES // (BLOCK_WORDS * 8)))
     words = [f"w{k}" for k in range(BLOCK_WORDS)]
-    partial = rules.select(_key_hash(F.col("host"), F.col("path")).alias("hash")).mapInPandas(_partial_filter(blocks), "block long, " + ", ".join(f"{w} long" for w in words))
+    partial = keys.mapInPandas(_partial_filter(blocks), "block long, " + ", ".join(f"{w} long" for w in words))
     merged = partial.groupBy("block").agg(*(F.bit_or(w).alias(w) for w in words)).toPandas()  # MAX_FILTER_BYTES at most
     bits = np.zeros((blocks, BLOCK_WORDS), dtype=np.uint64)
     bits[merged["block"].to_numpy()] = merged[words].to_numpy().astype(np.uint64)
@@ -81,6 +81,10 @@ def _key_hash(host: Column, path: Column) -> Column:
     return F.xxhash64(host, F.lit("\n"), path)
 
 
+def _host_hash(host: Column) -> Column:
+    return F.xxhash64(host, F.lit("\n\n"))
+
+
 def _passes(bits: np.ndarray, spark: SparkSession):
     shared = spark.sparkContext.broadcast(bits)
 
@@ -97,21 +101,19 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", unlisted: s
     """`pages` with `host`, `path`, `rule` (null: none fits) and `verdict`.
 
     A rule (verdict, host, path) fits its host and all subdomains where the URL's path starts with the rule's. The
-    longest host and path together win, then the longer host. Each distinct URL offers its host's suffixes with the path
-    cut at each length that a rule has; the filter drops nearly all offers that are not listed; the rest meet the rules
-    in an exact join, and the best rule goes back to the pages by URL. URLs are made distinct first, so a URL that fills
-    a third of the table is judged once. Where no rule fits the verdict is `unlisted`.
+    longest host and path together win, then the longer host. Each distinct URL offers its host's suffixes; the filter,
+    which holds the rules' hosts and their whole keys, drops nearly all that no rule names. The rest take their host's
+    path lengths, offer the path cut at each, pass the filter again and meet the rules in an exact join; the best rule
+    goes back to the pages by URL. URLs are made distinct first, so a URL that fills a third of the table is judged once.
+    Where no rule fits the verdict is `unlisted`.
 
-    Null URLs and those without :// have empty host and path and no rule. Repeated rules count once (block before allow);
+    Null URLs and those without :// have empty host and path and no rule; long URLs are judged whole. Repeated rules count once (block before allow);
     rules with a null part are left out; empty tables work. Columns called host, path, rule or verdict are replaced.
     """
     spark = pages.sparkSession
     pages = pages.drop("host", "path", "rule", "verdict")
     listed = rules.where("host is not null and path is not null and verdict is not null").groupBy("host", "path").agg(F.max("verdict").alias("verdict"))
     facts = listed.agg(F.count("*").alias("n"), F.sum(F.length("host") + F.length("path") + 64).alias("bytes")).first()
-    lengths = [r[0] for r in listed.select(F.length("path")).distinct().limit(DISTINCT_LENGTHS + 1).collect()]
-    if len(lengths) > DISTINCT_LENGTHS:
-        raise ValueError(f"rule paths have more than {DISTINCT_LENGTHS} different lengths")
     key = F.coalesce(F.col(f"`{url}`").cast("string"), F.lit(""))
     host, path, whole = temp("host"), temp("path"), temp("url")
     urls = pages.select(key.alias(whole)).distinct().select(whole, host_of(F.col(whole)).alias(host), path_of(F.col(whole)).alias(path)).where(F.col(host) != "")
@@ -119,12 +121,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", unlisted: s
         return pages.select("*", host_of(key).alias("host"), path_of(key).alias("path"), F.lit(None).cast("string").alias("rule"), F.lit(unlisted).alias("verdict"))
     labels = F.split(host, "\\.", -1)
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    cuts = F.filter(F.array(*(F.lit(n) for n in sorted(lengths))), lambda n: n <= F.length(path))
-    offers = urls.select(whole, path, F.explode(suffixes).alias("host")).select(whole, "host", F.explode(cuts).alias("cut"), path)
-    offers = offers.select(whole, "host", F.substr(F.col(path), F.lit(1), F.col("cut")).alias("path"))
-    hits = offers.where(_passes(build_filter(listed, facts["n"]), spark)(_key_hash(F.col("host"), F.col("path"))))
     small = facts["n"] <= BROADCAST_RULES and facts["bytes"] <= BROADCAST_BYTES
-    exact = hits.join(F.broadcast(listed) if small else listed, ["host", "path"])
+    bounded = F.broadcast if small else lambda side: side
+    by_host = listed.groupBy("host").agg(F.collect_set(F.length("path")).alias("cuts"))
+    passes = _passes(build_filter(listed, facts["n"]), spark)
+    offers = urls.select(whole, path, F.explode(suffixes).alias("host")).where(passes(_host_hash(F.col("host"))))
+    offers = offers.join(bounded(by_host), "host").select(whole, "host", path, F.explode(F.filter("cuts", lambda n: n <= F.length(path))).alias("cut"))
+    offers = offers.select(whole, "host", F.substr(F.col(path), F.lit(1), F.col("cut")).alias("path"))
+    exact = offers.where(passes(_key_hash(F.col("host"), F.col("path")))).join(bounded(listed), ["host", "path"])
     rule = F.concat("host", "path")
     best = exact.groupBy(whole).agg(F.max_by(F.struct(rule.alias("rule"), "verdict"), F.struct(F.length(rule), F.length("host"))).alias("best"))
     return (
