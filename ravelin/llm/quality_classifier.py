@@ -31,7 +31,7 @@ _RUNS = re.compile(r"([A-ZÀ-ÖØ-Þ])[A-ZÀ-ÖØ-Þ]*|([a-zß-öø-ÿ])[a-zß-
 
 def _shape(word: str) -> str:
     """The word with every run of capitals, small letters, digits or one sign written once."""
-    return _RUNS.sub(lambda m: "X" if m[1] else "x" if m[2] else "9" if m[3] else "l" if m[4] else m[5], word[:64])
+    return _RUNS.sub(lambda m: "X" if m[1] else "x" if m[2] else "9" if m[3] else "l" if m[4] else m[5], word)
 
 
 class WordHashes(dict):
@@ -121,12 +121,13 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS, shards: int = SHARDS) ->
     return weights, float(summed.loc[summed["index"] < 0, "weight"].sum() / used)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text") -> DataFrame:
-    """`docs` with `score`: the logistic of the bias and the sparse dot product of weights and n-gram shares.
+def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text", name: str = "score") -> DataFrame:
+    """`docs` with the column `name`: the logistic of the bias and the sparse dot product of weights and n-gram shares.
 
-    An empty or null text has no n-grams and gets the bias alone. All other columns and repeated rows are kept.
+    An empty or null text has no n-grams and gets the bias alone; a long one is read whole. All other columns and repeated
+    rows are kept; a column called `name` is replaced.
     """
-    docs = docs.drop("score")
+    docs = docs.drop(name)
     kept = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(model[0])
     bias = model[1]
@@ -139,10 +140,10 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text: str = "text")
             ends = np.cumsum(sizes)
             margin = bias + (sums[ends] - sums[ends - sizes]) / np.maximum(sizes, 1)
             scores = pa.array(1.0 / (1.0 + np.exp(-np.clip(margin, -35, 35))))
-            yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [scores], names=[*kept, "score"])
+            yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [scores], names=[*kept, name])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, score double")
+    return docs.mapInArrow(run, f"{schema}, `{name}` double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -157,14 +158,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     return train(joined)
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """`docs` with held_out, score and predicted (1 where the score reaches the threshold).
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, names: tuple[str, str, str] = ("held_out", "score", "predicted")) -> DataFrame:
+    """`docs` with held_out, score and predicted (1 where the score reaches the threshold), called by `names`.
 
-    Only the text enters a score. Null ids are not held out and are scored like others; empty tables work: without
-    labels every score is 0.5.
+    Only the text enters a score, so equal texts tie. Null ids are not held out and are scored like others; long texts are
+    read whole; empty tables work: without labels every score is 0.5. Columns called like the results are replaced.
     """
-    scored = score(docs.drop("held_out", "predicted"), fit(docs, labels))
-    return scored.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= threshold).cast("int")})
+    held, value, verdict = names
+    scored = score(docs.drop(*names), fit(docs, labels), name=value)
+    return scored.withColumns({held: held_out(F.col("doc_id")), verdict: (F.col(value) >= threshold).cast("int")})
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
