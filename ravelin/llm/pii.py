@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import secrets
 import sys
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ravelin.llm.common import arrow_batches, slices, stored, table, temp, texts_of
 
-KEY = b"ravelin surrogate key"
+#: Setting that holds the key of the surrogates. Without one every call draws its own, and nobody can compute them again.
+KEY_SETTING = "spark.ravelin.surrogate.key"
 #: Attempts at a surrogate that no other entity has; each leaves a small share of the entities open. From attempt WIDER on
 #: short shapes grow, so that there are always free values.
 ATTEMPTS, WIDER = 40, 8
@@ -41,7 +43,20 @@ SYLLABLES = {
 }
 _GENDER = {name: gender for gender, names in MORE_GIVEN.items() for name in names} | {name: gender for (_, gender), names in GIVEN.items() for name in names}
 
-_WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+)?"
+#: Words that begin sentences and are no part of a name though written with a capital; and words for places
+#: and times, which are none behind a given name without a title (Victoria Park, but Mr Park).
+NO_NAMES = (
+    "After All An And As At Before But By Can Das Dem Den Der Des Die Ein Eine El En Er Es For From He Her Here His How If In Is It La Las Le Les Los No Not Now Of On Or Our She Sie So Thank That"
+    " The Their Then There These They This Those To Today Un Una Und Une Was We Went What When Where Which Who Why Will With Yes You Your"
+).split()
+PLACES = (
+    "April August Avenue Bridge Castle Church City College County Court December February Friday Garden Gardens Hall Hill Hospital House Island January July June Lake Lane March May Monday November October Park Place Rd Road"
+    " River Saturday School September Square St Station Street Sunday Thursday Tower Tuesday University Valley Wednesday"
+).split()
+_UP, _LOW = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
+_PART = rf"(?:(?:[DO]['’]|Ma?c)?[{_UP}][{_LOW}]+|[{_UP}]{{2,}})"
+_WORD = rf"(?!(?:{'|'.join(NO_NAMES)})(?!\w)){_PART}(?:-{_PART})?"
+_UNTITLED = rf"(?!(?:{'|'.join(PLACES)})(?!\w)){_WORD}"
 _TITLE = "|".join(sorted((t for some in TITLES.values() for t in some), key=len, reverse=True))
 _NAMES = "|".join(sorted(_GENDER, key=len, reverse=True))
 #: Combining marks, which \w leaves out, and scripts written without blanks between words: there an address may touch
@@ -61,7 +76,7 @@ PATTERNS = (
     ("card", re.compile(r"(?<![\w.+-])(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?![\w-])", re.ASCII)),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])", re.ASCII)),
     ("phone", re.compile(r"(?<![\w(+])(?:\+?\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{4}(?!\w)|(?<![\w.-])(?:\+?\d{1,2}[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])|(?<![\w(])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)", re.ASCII)),
-    ("person", re.compile(rf"(?<!\w)(?:(?:{_TITLE})\b\.?[ ]{_WORD}(?:[ ]{_WORD})?|(?:{_NAMES})[ ]{_WORD})(?!\w)")),
+    ("person", re.compile(rf"(?<!\w)(?:(?:{_TITLE})\b\.?[ ]{_WORD}(?:[ ]{_WORD})?|(?:{_NAMES})[ ]{_UNTITLED})(?!\w)")),
 )
 #: Every text with an entity matches this; the rest need no Python.
 POSSIBLE = rf"[0-9@]|(?=[A-ZÀ-ÖØ-ÞА-ЯЁ])(?:{_TITLE}|{_NAMES})[. ]"
@@ -73,34 +88,39 @@ def detect(text: str) -> list[tuple[str, int, int]]:
     A name of a person found in the text is an entity wherever else it stands alone, of the kind of its part (family or given).
     """
     found: list[tuple[str, int, int]] = []
-    taken: list[tuple[int, int]] = []
     for kind, pattern in PATTERNS:
-        if kind == "email" and "@" not in text:
-            continue
-        for match in pattern.finditer(text):
-            start, end = match.span()
-            if all(end <= a or start >= b for a, b in taken):
-                found.append((kind, start, end))
-        taken = [(s, e) for _, s, e in found]
+        if kind != "email" or "@" in text:
+            found = _with_free(found, ((kind, *m.span()) for m in pattern.finditer(text)))
     names: dict[str, str] = {}
-    for part, name, _, _ in (x for kind, s, e in found if kind == "person" for x in parts(kind, text[s:e])):
-        names[name] = min(names.get(name, part), part)  # family before given
+    for part, name, s, e in ((k, v, start + a, start + b) for kind, start, end in found if kind == "person" for k, v, a, b in parts(kind, text[start:end])):
+        for shown in (name, text[s:e]):
+            names[shown] = min(names.get(shown, part), part)  # family before given
     if names:
-        taken = sorted(taken)
-        starts = [s for s, _ in taken]
         listed = "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True))
-        for match in re.finditer(rf"(?<![\w@])(?:{listed})(?!\w)", text):
-            start, end = match.span()
-            at = bisect_right(starts, start)
-            if (not at or taken[at - 1][1] <= start) and (at == len(taken) or starts[at] >= end):
-                found.append((names[match.group()], start, end))
-    return sorted(found, key=lambda x: x[1])
+        found = _with_free(found, ((names[m.group()], *m.span()) for m in re.finditer(rf"(?<![\w@])(?:{listed})(?!\w)", text)))
+    return found
+
+
+def _with_free(taken: list[tuple[str, int, int]], more: Iterable[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """Spans by start: `taken`, and those of `more` that overlap none of them."""
+    starts = [s for _, s, _ in taken]
+    free = []
+    for kind, start, end in more:
+        at = bisect_right(starts, start)
+        if (not at or taken[at - 1][2] <= start) and (at == len(taken) or starts[at] >= end):
+            free.append((kind, start, end))
+    return sorted([*taken, *free], key=lambda x: x[1]) if free else taken
 
 
 def _script(word: str) -> str:
     return "cyrillic" if re.search("[А-Яа-яЁё]", word) else "latin"
 
 
+def _name(word: str) -> str:
+    """A name as it is compared: all capitals as the first of each part."""
+    return "-".join(p.capitalize() for p in word.split("-")) if word.isupper() else word
+
+
 def _bare(text: str) -> str:
     return re.sub(r"[^0-9A-Za-z]", "", text)
 
@@ -126,9 +146,9 @@ def parts(kind: str, text: str) -> list[tuple[str, str, int, int]]:
     out = []
     for place, (word, start, end) in enumerate(names):
         if place == len(names) - 1:
-            out.append((f"family:{_script(word)}", word, start, end))
+            out.append((f"family:{_script(word)}", _name(word), start, end))
         else:
-            out.append((f"given:{_script(word)}:{gender or _GENDER.get(word, 'm')}", word, start, end))
+            out.append((f"given:{_script(word)}:{gender or _GENDER.get(_name(word), 'm')}", _name(word), start, end))
     return out
 
 
@@ -180,7 +200,7 @@ def _alike(text: str, stream: _Stream) -> str:
     return "".join(out)
 
 
-def surrogate(kind: str, value: str, attempt: int, key: bytes = KEY) -> str:
+def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     """A canonical value of the same kind and shape, fixed by the key, the value and the attempt."""
     stream, more = _Stream(key, kind, value, attempt), max(0, attempt - WIDER + 1)
     if kind == "email":
@@ -220,14 +240,18 @@ def _poured(kind: str, shown: str, chosen: str) -> str:
         local, _, domain = shown.partition("@")
         padded = local + "x" * (chosen.index("@") - len(local)) + "@" + domain  # the local part may have grown
         return "".join(c.upper() if s.isupper() and len(c.upper()) == 1 else c for s, c in zip(padded, chosen, strict=True))
-    if kind.startswith(("given", "family")) or kind == "ip":
+    if kind.startswith(("given", "family")):
+        return chosen.upper() if shown.isupper() else chosen
+    if kind == "ip":
         return chosen
     left = iter(chosen)
     return "".join(next(left) if re.match("[0-9A-Za-z]", ch) else ch for ch in shown) + "".join(left)
 
 
 def _canonical(kind: str, text: str) -> list[tuple[str, str, int, int]]:
-    return [(kind, text, 0, len(text))] if kind == "ip" or kind.startswith(("family", "given")) else parts(kind, text)
+    if kind.startswith(("family", "given")):
+        return [(kind, _name(text), 0, len(text))]
+    return [(kind, text, 0, len(text))] if kind == "ip" else parts(kind, text)
 
 
 _NODE, _MAP = temp("node"), temp("surrogates")
@@ -259,7 +283,13 @@ def _candidates(key: bytes, attempt: int):
     return run
 
 
-def choose_surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The key of KEY_SETTING, or a new one."""
+    setting = spark.conf.get(KEY_SETTING, None)
+    return setting.encode() if setting else secrets.token_bytes(32)
+
+
+def choose_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, value, surrogate) for distinct (kind, value): no two of a kind share one, and none is an entity of the table.
 
     Each attempt draws a candidate for every open entity; it is kept unless it is an original, was kept before, or is
@@ -290,7 +320,7 @@ def replace(text: str, chosen: Callable[[str, str], str]) -> tuple[str, int]:
     return "".join([*out, text[at:]]), len(entities)
 
 
-def _rewrite(kept: list[str], text: str):
+def _rewrite(kept: list[str], text: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
             texts, counts = [], []
@@ -300,13 +330,13 @@ def _rewrite(kept: list[str], text: str):
                 texts.append(new)
                 counts.append(count)
             columns = [pa.array(texts, pa.string()) if c == text else part.column(c) for c in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*kept, "n_entities"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*kept, name])
 
     return run
 
 
-def replace_pii(docs: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame:
-    """`docs` with personal data in `text` replaced, and `n_entities`, the number of places.
+def replace_pii(docs: DataFrame, key: bytes, text: str = "text", count: str = "n_entities") -> DataFrame:
+    """`docs` with personal data in `text` replaced, and the number of places in the column `count`.
 
     Emails, IP addresses, account and card numbers, phone numbers and named persons are found by pattern. Their distinct
     canonical values get surrogates from a keyed hash: letters for letters, digits for digits, check digits kept valid,
@@ -314,22 +344,23 @@ def replace_pii(docs: DataFrame, key: bytes = KEY, text: str = "text") -> DataFr
     different values have different ones, and no surrogate is an original of the corpus. Texts that cannot hold an entity
     do not move. The others meet their own few surrogates by a hash of the text, so copies share one list.
 
-    A null text stays null with no entities, an empty one empty. Repeated rows and other columns pass through; an empty
-    table gives an empty one; a column called n_entities is replaced.
+    A null text stays null with no entities, an empty one empty; a long one is read whole in time that grows with its
+    length. Repeated rows and other columns pass through; an empty table gives an empty one; a column called `count` is
+    replaced. The same key gives the same surrogates for the same table.
     """
-    docs = docs.drop("n_entities").withColumn(text, F.col(f"`{text}`").cast("string"))
+    docs = docs.drop(count).withColumn(text, F.col(f"`{text}`").cast("string"))
     possible = F.coalesce(F.col(text).rlike(POSSIBLE), F.lit(False))
     kept = docs.columns
-    clean = docs.where(~possible).withColumn("n_entities", F.lit(0))
+    clean = docs.where(~possible).withColumn(count, F.lit(0))
     rows = docs.where(possible).withColumn(_NODE, F.unhex(F.md5(F.col(text).cast("binary"))))
     found = stored(rows.select(_NODE, text).mapInArrow(_occurrences(text), "node binary, kind string, value string").distinct(), "occurrences")
     chosen = choose_surrogates(found, key)
     lists = found.join(chosen, ["kind", "value"]).groupBy("node").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias(_MAP))
     joined = rows.join(lists.withColumnRenamed("node", _NODE), _NODE, "left").drop(_NODE)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return clean.unionByName(joined.mapInArrow(_rewrite(kept, text), f"{schema}, n_entities int"))
+    return clean.unionByName(joined.mapInArrow(_rewrite(kept, text, count), f"{schema}, `{count}` int"))
 
 
 def query(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with its personal data replaced."""
-    return replace_pii(table(spark, folder, "documents").select("doc_id", "text"))
+    return replace_pii(table(spark, folder, "documents").select("doc_id", "text"), surrogate_key(spark))

@@ -49,7 +49,7 @@ MORE_RULES = (
     Rule("payment_key", r"[rs]k_live_[A-Za-z0-9]{16,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
 )
 RULES = BASE_RULES + MORE_RULES
 
