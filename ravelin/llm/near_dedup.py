@@ -231,7 +231,9 @@ def verified_links(rows: DataFrame, pairs: DataFrame, shared, threshold: float =
     """
     needs = pairs.select(F.col("b").alias("node"), F.col("b_id").alias("row_id"), "a", "chunk", F.lit(1).alias("role"))
     needs = needs.unionAll(pairs.select(F.col("a").alias("node"), F.col("a_id").alias("row_id"), "a", "chunk", F.lit(0).alias("role")).distinct())
-    texts = rows.join(needs, (rows["node"] == needs["node"]) & rows["doc_id"].eqNullSafe(needs["row_id"])).select("a", "chunk", "role", needs["node"], "text")
+    asked = broadcast_if_small(needs.select(F.col("node").alias("asked"), "row_id").distinct())  # beyond the bound by shuffle
+    few = rows.join(asked, (F.col("node") == F.col("asked")) & F.col("doc_id").eqNullSafe(F.col("row_id")), "left_semi")  # the other texts stay where they are
+    texts = few.join(needs, (few["node"] == needs["node"]) & few["doc_id"].eqNullSafe(needs["row_id"])).select("a", "chunk", "role", needs["node"], "text")
     return texts.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role", "node").mapInArrow(_verify(shared, threshold), "a binary, b binary, similarity double")
 
 
