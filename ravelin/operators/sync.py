@@ -11,6 +11,7 @@ from ravelin.functions.embedders import Embedder, embed
 from ravelin.operators.retrieval import tenant_topk
 from ravelin.operators.transforms import row_to_document, sentence_chunks, with_text
 from ravelin.session import broadcast_if_small, checkpointed
+from ravelin.sources import vector_table
 
 # The source row and the change envelope.
 ROW_DDL = "id bigint, tenant_id string, title string, body string, updated_at timestamp"
@@ -72,6 +73,46 @@ def apply_sync(
     return kept.select(*columns).unionByName(added.select(*columns))
 
 
+def sync_table(
+    docs: DataFrame,
+    path: str,
+    dim: int,
+    *,
+    size: int = 512,
+    overlap: int = 50,
+    embedder: Embedder | None = None,
+    chunker: Callable[[DataFrame, int, int], DataFrame] = sentence_chunks,
+    multitenant: bool = False,
+) -> DataFrame:
+    """Bring the stored table at `path` in step with `docs` (doc_id, tenant_id, text) and return the diff.
+
+    The state is the content hash kept with each stored chunk, read alone. Only new and changed documents are chunked,
+    embedded and added, as one segment; chunks that go are marked by id. Without a change nothing is written. A document
+    without chunks is stored nowhere, so it is listed as new each time.
+    """
+    spark = docs.sparkSession
+    current = with_content_hash(docs.select("doc_id", "tenant_id", "text"))
+    exists = vector_table.read_meta(spark, path) is not None
+    table = vector_table.read_vectors(spark, path) if exists else None
+    state = (table if exists else current.limit(0)).select("doc_id", "content_hash").distinct()
+    diff = checkpointed(diff_snapshot(current, state))
+    moved = diff.where("status != 'unchanged'")
+    if moved.isEmpty() and exists:
+        return diff
+    fresh = current.join(broadcast_if_small(moved.where("status != 'deleted'").select("doc_id")), "doc_id", "left_semi")
+    chunks = embed(chunker(fresh.select("doc_id", "tenant_id", "text"), size, overlap), embedder=embedder)
+    added = chunks.join(fresh.select("doc_id", "content_hash"), "doc_id").select("chunk_id", "doc_id", "tenant_id", "text", "embedding", "content_hash")
+    if not exists:
+        vector_table.write_vectors(added, path, dim, multitenant=multitenant)
+        return diff
+    stale = checkpointed(table.join(broadcast_if_small(moved.select("doc_id")), "doc_id", "left_semi").select("chunk_id"))
+    if not stale.isEmpty():
+        vector_table.delete_vectors(stale, path)
+    if not fresh.where(F.trim("text") != "").isEmpty():
+        vector_table.write_vectors(added, path, dim, recreate=False)
+    return diff
+
+
 def _null_row() -> Column:
     return F.lit(None).cast("struct<" + ROW_DDL.replace(", ", ",").replace(" ", ":") + ">")
 
@@ -87,11 +128,25 @@ def jdbc_snapshot(spark, url: str, table: str, *, partition_column: str = "id",
     return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper, numPartitions=partitions, properties=options)
 
 
-def parse_events(raw: DataFrame) -> DataFrame:
-    """Change envelopes from `value` (JSON text or bytes); tombstones (null values) are skipped. Other columns stay."""
-    others = [c for c in raw.columns if c != "value"]
+def parsed_or_rejected(raw: DataFrame) -> DataFrame:
+    """`raw` with op, before and after of each envelope in `value`, and `rejected`: why it is no event (else null).
+
+    Tombstones (null values) are skipped. An event needs an op and the id of its row: before's for a delete, else after's.
+    """
     parsed = raw.where(F.col("value").isNotNull()).withColumn("_e", F.from_json(F.col("value").cast("string"), EVENT_DDL))
-    return parsed.select(*others, "_e.op", "_e.before", "_e.after")
+    parsed = parsed.select(*raw.columns, "_e.op", "_e.before", "_e.after")
+    reason = F.when(F.col("op").isNull(), "no change envelope").when(event_id().isNull(), "no row id")
+    return parsed.withColumn("rejected", reason)
+
+
+def parse_events(raw: DataFrame) -> DataFrame:
+    """Change events from `value` (JSON text or bytes). Other columns stay; `rejected_events` has what is no event."""
+    return parsed_or_rejected(raw).where("rejected is null").drop("value", "rejected")
+
+
+def rejected_events(raw: DataFrame) -> DataFrame:
+    """The rows of `raw` whose value is there but no change event, with the reason in `rejected`."""
+    return parsed_or_rejected(raw).where("rejected is not null").drop("op", "before", "after")
 
 
 def event_id(op: str = "op") -> Column:

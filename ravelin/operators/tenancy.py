@@ -14,10 +14,9 @@ def claims_to_scope(claims: DataFrame, issuer: str, audience: str, now: Column)
     Tenants come from the claims alone. `now` is in epoch seconds; `aud` may be one name or a list. A time claim that is
     there but is not a number rejects, as does one not yet reached (`nbf`, `iat`); blank groups are no tenants.
     """
-    # Text and numbers look alike once taken out of the JSON, so numbers are told by the raw claim having no quote.
+    # A typed field of the top level is read from a number only; text, a list or an object there gives null.
     present = lambda name: F.get_json_object("claims", f"$.{name}").isNotNull()
-    bare = lambda name: F.col("claims").rlike(rf'"{name}"\s*:\s*-?[0-9.]+([eE][+-]?[0-9]+)?\s*[,}}]')
-    number = lambda name: F.when(bare(name), F.get_json_object("claims", f"$.{name}").try_cast("double"))
+    number = lambda name: F.from_json("claims", f"{name} double")[name]
     groups = F.filter("_c.groups", lambda g: F.trim(g) != "")
     parsed = F.from_json("claims", CLAIMS_SCHEMA)
     audiences = F.from_json(F.get_json_object("claims", "$.aud"), "array<string>")

@@ -8,6 +8,7 @@ from ravelin.functions.embedders import embed
 from ravelin.operators import sync, tenancy, transforms
 from ravelin.plans import inputs, plan
 from ravelin.plans.sql import DOCS, embedded, events_sql, nearest, windows
+from ravelin.sources import vector_table
 from ravelin.sources.tables import read_table
 from ravelin.streaming import feed
 
@@ -149,6 +150,33 @@ def change_log(spark, d):
     return sync.change_log(sync.parse_events(inputs.row_events(spark, d)))
 
 
+@plan("rejected_events", "select 'not json ' || event_id as value, event_id as seq, 'no change envelope' as rejected from events union all select '{\"op\":\"c\",\"after\":{\"title\":\"' || event_type || '\"}}', event_id, 'no row id' from events")
+def rejected_events(spark, d):
+    """Every event once more as text that is no envelope, and as a row without an id."""
+    events = read_table(spark, d, "events").withColumnRenamed("event_id", "seq")
+    broken = F.concat(F.lit("not json "), F.col("seq").cast("string"))
+    nobody = F.concat(F.lit('{"op":"c","after":{"title":"'), F.col("event_type"), F.lit('"}}'))
+    raw = inputs.row_events(spark, d)
+    for value in (broken, nobody):
+        raw = raw.unionByName(events.select(value.alias("value"), "seq"))
+    return sync.rejected_events(raw)
+
+
+@plan(
+    "sync_table",
+    f"with {DOCS} select doc_id, {HASHED} as content_hash from docs where text <> ''",
+)
+def sync_table(spark, d):
+    """An earlier state stored, then brought in step with the documents; what the table holds then."""
+    path, now = inputs.scratch(spark, "synced"), inputs.documents(spark, d).where("text != ''").select("doc_id", "tenant_id", "text")
+    at = F.pmod(F.col("doc_id").try_cast("long"), F.lit(5))  # filters on it reach the ids of the table too
+    before = now.where(at != 0).withColumn("text", F.when(at == 1, F.concat("text", F.lit(" (draft)"))).otherwise(F.col("text")))
+    gone = now.where(at == 2).withColumn("doc_id", F.concat(F.lit("old-"), "doc_id"))
+    sync.sync_table(before.unionByName(gone), path, 64)
+    sync.sync_table(now, path, 64)
+    return vector_table.read_vectors(spark, path).select("doc_id", "content_hash").distinct()
+
+
 @plan("stream_apply", f"with {events_sql()} select 'pg-' || id as doc_id, tenant_id, title || chr(10) || chr(10) || body as text from live")
 def stream_apply(spark, d):
     """The feed written as files, drained in micro-batches, and the state read from the log."""

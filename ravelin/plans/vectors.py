@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ravelin.functions import vectors as vx
-from ravelin.operators import approximate, quantization, retrieval, transforms
+from ravelin.operators import approximate, lists, quantization, retrieval, transforms
 from ravelin.plans import inputs, plan
 from ravelin.plans.sql import SCALED, VECTORS, exact
 from ravelin.sources import vector_table
@@ -195,6 +195,40 @@ def ann_topk_all_cells(spark, d):
     return shown(approximate.ann_topk(inputs.as_queries(items), index, K, nprobe=16))
 
 
+@plan("ann_topk_lists")
+def ann_topk_lists(spark, d):
+    """Many small lists, read as far as an item of theirs may be expected to beat the k-th score found."""
+    items = inputs.vectors(spark, d)
+    index = lists.save_lists(lists.build_lists(items), inputs.scratch(spark, "lists"))
+    return shown(lists.lists_topk(inputs.as_queries(items), index, K))
+
+
+@plan(
+    "ann_lists_exact",
+    f"with {VECTORS} {SHOWN} ({best_pairs('v', METRIC_SQL['cosine'], K).replace('on q.k <> i.k', 'on true')})",
+)
+def ann_lists_exact(spark, d):
+    """The same lists, left out only where the triangle inequality rules their items out: equal to the exact search."""
+    items = inputs.vectors(spark, d)
+    return shown(lists.lists_topk(inputs.as_queries(items), lists.build_lists(items), K, reach=None))
+
+
+TENANT_PAIRS = f"""select query_id, chunk_id, score, row_number() over (partition by query_id order by score desc, chunk_id) as rank
+  from (select q.k as query_id, i.k as chunk_id, round({METRIC_SQL['cosine']}, 10) as score
+    from v q join v i on i.label = q.k % 10 or i.label = q.k % 7)
+  qualify row_number() over (partition by query_id order by score desc, chunk_id) <= {K}"""
+
+
+@plan("ann_topk_tenants", f"with {VECTORS} {SHOWN} ({TENANT_PAIRS})")
+def ann_topk_tenants(spark, d):
+    """Each vector asks within two tenants, whose lists alone are read."""
+    items = with_tenant(inputs.vectors(spark, d))
+    index = approximate.build_cells(items, 16, by_tenant=True)
+    tenant = lambda m: F.concat(F.lit("t"), (F.col("query_id") % m).cast("string"))
+    queries = inputs.as_queries(items).withColumn("tenants", F.array(tenant(10), tenant(7)))
+    return shown(approximate.ann_topk(queries, index, K, nprobe=16))
+
+
 STORED = "select vec_id as chunk_id, 't' || label as tenant_id, " + exact("list_sum(embedding::double[])", 6) + " as total from embeddings"
 
 
@@ -212,6 +246,18 @@ def write_vectors(spark, d):
     return stored_rows(vector_table.write_vectors(rows, inputs.scratch(spark, "vectors"), 64, normalized=True, multitenant=True))
 
 
+@plan("append_vectors", STORED)
+def append_vectors(spark, d):
+    """The table in three writes that overlap, some rows deleted and added again: each write stores its own rows only."""
+    rows, path = with_tenant(inputs.vectors(spark, d)), inputs.scratch(spark, "vectors")
+    off = rows.withColumn("embedding", F.transform("embedding", lambda x: -x))
+    part = F.pmod("chunk_id", F.lit(3))
+    vector_table.write_vectors(off.where(part != 2), path, 64, multitenant=True)
+    vector_table.write_vectors(rows.where(part >= 1), path, 64, recreate=False)
+    vector_table.delete_vectors(rows.where(part <= 1).select("chunk_id"), path)
+    return stored_rows(vector_table.write_vectors(rows.where(part <= 1), path, 64, recreate=False))
+
+
 @plan("open_or_build", STORED)
 def open_or_build(spark, d):
     path = inputs.scratch(spark, "vectors")

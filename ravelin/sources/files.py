@@ -8,7 +8,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,18 +114,20 @@ def load_json(spark: SparkSession, directory: str, schema: T.StructType | None =
     With `lines` the folder's .jsonl files are read, an object a line, split among tasks. What is no object gives no
     document; `rejected_json` has it.
     """
-    reader = _json_reader(spark, recursive, lines)
+    bad = "_corrupt_record"
     try:
-        raw = (reader.schema(schema) if schema else reader).json(directory)
+        found = schema or _json_reader(spark, recursive, lines).json(directory).schema
+        fields = [f for f in found.fields if f.name != bad]
+        if not fields:
+            return no_documents(spark)
+        asked = T.StructType([*fields, T.StructField(bad, T.StringType())])
+        raw = _json_reader(spark, recursive, lines).schema(asked).json(directory)
     except AnalysisException as error:
         if is_missing(error):
             return no_documents(spark)
         raise
-    fields = [f for f in raw.schema.fields if f.name != "_corrupt_record"]
-    if not fields:
-        return no_documents(spark)
-    if len(fields) < len(raw.schema.fields):
-        raw = raw.where(reduce(or_, (F.col(f"`{f.name}`").isNotNull() for f in fields)))  # of a rejected text no field is read
+    # An object is there if it was read without a fault, or with a field at least.
+    raw = raw.where(reduce(or_, (F.col(f"`{f.name}`").isNotNull() for f in fields), F.col(bad).isNull()))
     lines = [
         F.when(F.col(f"`{f.name}`").isNotNull(), F.concat(F.lit(f"{f.name}: "), _as_text(f.name, f.dataType))) for f in fields
     ]
@@ -135,29 +137,39 @@ def load_json(spark: SparkSession, directory: str, schema: T.StructType | None =
     return _documents(_with_row_ids(rows), "json")
 
 
+def _record_widths(lines: DataFrame) -> DataFrame:
+    """(file_path, _record, _width) of each record: a line goes on in the next while a quote is open. Blank lines are none."""
+    order = Window.partitionBy("file_path").orderBy("_block", "_at")
+    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
+    lines = lines.withColumn("_open", (F.sum(quotes).over(order) - quotes) % 2 == 1).withColumn("_shut", (F.sum(quotes).over(order)) % 2 == 0)
+    whole = F.concat(F.when(F.col("_open"), F.lit('"')).otherwise(F.lit("")), F.col("value"), F.when(F.col("_shut"), F.lit("")).otherwise(F.lit('"')))
+    commas = F.length(F.regexp_replace(F.regexp_replace(whole, '"[^"]*"', ""), "[^,]", ""))
+    first = (~F.col("_open") & (F.col("value") != "")).cast("long")
+    numbered = lines.select("file_path", F.sum(first).over(order).alias("_record"), commas.alias("_commas"), "_open", "value").where("_open or value != ''")
+    return numbered.groupBy("file_path", "_record").agg((F.sum("_commas") + 1).cast("int").alias("_width"))
+
+
 def load_csv(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """One document per data row: its values joined by a comma and a blank, the header left out.
 
-    Every file has a header of its own. All are read as wide as the widest, and each row is cut to its file's width; a
-    row longer than its header keeps the further values that fit.
+    Every file has a header of its own. All are read as wide as the widest record of any file; each row has its file's
+    width, or more where it holds further values, so what a row gives does not hang on the files beside it.
     """
     reader = spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", str(recursive).lower())
     try:
-        lines = reader.text(directory).select("value", decoded_path().alias("file_path"), F.monotonically_increasing_id().alias("_at"))
-        commas = F.regexp_replace(F.regexp_replace(F.col("value"), '"[^"]*"', ""), "[^,]", "")
-        heads = lines.where("value != ''").groupBy("file_path").agg(F.min_by(F.length(commas) + 1, "_at").alias("_width"))
-        widths = broadcast_if_small(heads)
+        lines = reader.text(directory).select("value", decoded_path().alias("file_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+        widths = broadcast_if_small(_record_widths(lines).groupBy("file_path").agg(F.min_by("_width", "_record").alias("_width"), F.max("_width").alias("_most")))
     except AnalysisException as error:
         if is_missing(error):
             return no_documents(spark)
         raise
-    widest = widths.agg(F.max("_width")).first()[0]
+    widest = widths.agg(F.max("_most")).first()[0]
     if widest is None:
         return no_documents(spark)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(widest)])
     raw = reader.schema(schema).option("header", "true").option("multiLine", "true").option("escape", '"').csv(directory)
     rows = raw.select(F.array(*raw.columns).alias("_values"), F.col("_metadata.file_name").alias("file_name"), decoded_path().alias("file_path"))
-    rows = rows.join(widths, "file_path")
+    rows = rows.join(widths.drop("_most"), "file_path")
     filled = F.array_max(F.transform("_values", lambda v, i: F.when(v.isNotNull(), i + 1).otherwise(0)))
     values = F.transform(F.slice("_values", F.lit(1), F.greatest(F.col("_width"), filled)), lambda v: F.coalesce(v, F.lit("")))
     return _documents(_with_row_ids(rows.select(F.array_join(values, ", ").alias("text"), "file_name", "file_path")), "csv")

@@ -12,7 +12,7 @@ from check import rows_of
 
 FOLDER = "/root/testdata/sf0.001"
 # Product codes and cells are learned, so only their rows are counted here; recall floors are in test_search.
-LEARNED = {"product_quantize", "quantized_topk_product", "rescored_topk_product", "ann_topk", "ann_sweep_cells", "ann_sweep_product"}
+LEARNED = {"product_quantize", "quantized_topk_product", "rescored_topk_product", "ann_topk", "ann_topk_lists", "ann_sweep_cells", "ann_sweep_product"}
 
 
 @pytest.fixture(scope="module")

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ravelin.operators import approximate, quantization, retrieval
+from ravelin.operators import approximate, lists, quantization, retrieval
 from ravelin.operators.evaluation import recall_at_k
 from ravelin.operators.nearest import search
 from ravelin.operators.ordering import exact_quantiles, numbered
@@ -158,3 +158,31 @@ def test_numbered_hot_key(spark):
     df = spark.range(1000).withColumn("k", F.when(F.col("id") < 700, "hot").otherwise("cold"))
     got = rows(numbered(df, ["id"], ["k"]).select("k", "pos", "id"), "id")
     assert got == [("hot", i + 1, i) if i < 700 else ("cold", i - 699, i) for i in range(1000)]
+
+
+def test_small_lists_recall_most_while_reading_less_than_half(spark):
+    items = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").alias("chunk_id"), "embedding")
+    index = lists.build_lists(items)
+    n = index.lists.count()
+    assert index.items.count() == items.count() == index.lists.agg(F.sum("n")).first()[0] and n > items.count() ** 0.5
+    queries = items.where("chunk_id % 10 = 0").select(F.col("chunk_id").alias("query_id"), "embedding")
+    opening, rest = lists.probed_lists(queries, index, 10)
+    read = opening.unionByName(rest)
+    assert read.distinct().count() == read.count() < 0.5 * n * queries.count()
+    pairs = lambda hits: {(r["query_id"], r["chunk_id"]) for r in hits.select("query_id", "chunk_id").collect()}
+    exact = pairs(search(queries, items, 10))
+    assert len(exact & pairs(lists.lists_topk(queries, index, 10))) >= 0.95 * len(exact)
+    assert pairs(lists.lists_topk(queries, index, 10, reach=None)) == exact
+
+
+def test_lists_of_equal_vectors_stay_short(spark, tmp_path):
+    crowd = [(i, [1.0, 0.0]) for i in range(700)] + [(i, [0.0, float(i)]) for i in range(700, 1_000)] + [(1_000, [0.0, 0.0]), (1_001, None)]
+    items = spark.createDataFrame(crowd, "chunk_id long, embedding array<float>")
+    for metric in ("cosine", "euclidean"):
+        index = lists.save_lists(lists.build_lists(items, metric, lists=20), str(tmp_path / metric))
+        assert index.lists.agg(F.max("n")).first()[0] < 2 * lists.FULL * 1_001 / 20
+        queries = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.0, 3.0]), (3, [0.0, 0.0])], "query_id long, embedding array<float>")
+        got, want = (rows(h.select("query_id", "rank", "chunk_id", "score"), "query_id", "rank") for h in (lists.lists_topk(queries, index, 5, reach=None), search(queries, items, 5, metric)))
+        assert [r[3] for r in got] == [r[3] for r in want] if metric == "cosine" else got == want
+    empty = lists.build_lists(items.limit(0))
+    assert lists.lists_topk(queries, empty, 5).count() == 0

@@ -127,3 +127,44 @@ def test_tenant_filter_prunes_partitions(spark, tmp_path):
     stored = vector_table.write_vectors(rows_, str(tmp_path / "v"), 1, multitenant=True)
     plan = stored.where("tenant_id in ('t1')")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(tenant_id" in plan or "PartitionFilters: [(tenant_id" in plan
+
+
+def test_adding_rows_writes_only_them(spark, tmp_path):
+    path = str(tmp_path / "v")
+    many = spark.range(4_000).select(F.concat(F.lit("c"), "id").alias("chunk_id"), F.array(F.col("id").cast("float"), F.rand(3).cast("float")).alias("embedding"))
+    size = lambda: {p.name: sum(f.stat().st_size for f in p.rglob("*.parquet")) for p in (tmp_path / "v").iterdir() if p.name != "meta"}
+    vector_table.write_vectors(many, path, 2)
+    before = size()
+    few = many.where("chunk_id like 'c1_'").withColumn("embedding", F.array(F.lit(-1.0).cast("float"), F.lit(0.0).cast("float")))
+    table = vector_table.write_vectors(few, path, 2, recreate=False)
+    after = size()
+    assert all(after[n] == before[n] for n in before) and sum(after.values()) - sum(before.values()) < 0.2 * sum(before.values())
+    assert table.count() == 4_000 and table.where("embedding[0] = -1").count() == 10
+    gone = vector_table.delete_vectors(few.select("chunk_id"), path)
+    assert gone.count() == 3_990 == vector_table.read_meta(spark, path)["rows"] and vector_table.remove_old(spark, path) == []
+    twice = few.unionByName(few)
+    back = vector_table.write_vectors(twice, path, 2, recreate=False)
+    assert back.count() == 4_000 and back.select("chunk_id").distinct().count() == 4_000
+    whole = vector_table.compact_vectors(spark, path)
+    assert rows(whole.select("chunk_id"), "chunk_id") == rows(back.select("chunk_id"), "chunk_id")
+    assert len(vector_table.remove_old(spark, path)) == 4 and len(size()) == 1 and vector_table.read_vectors(spark, path).count() == 4_000
+
+
+def test_loaders_lose_nothing(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "long.csv").write_text('a,b\n1,2,3\n"x,\ny,z",w,v,u,t\n')
+    alone = [r[0] for r in rows(files.load_csv(spark, str(folder)).select("text"), "text")]
+    assert alone == ["1, 2, 3", "x,\ny,z, w, v, u, t"]
+    (folder / "wide.csv").write_text("a,b,c,d,e,f\n1,2,3,4,5,6\n")
+    assert set(alone) < {r[0] for r in rows(files.load_csv(spark, str(folder)).select("text"))}
+    folder = tmp_path / "json"
+    folder.mkdir()
+    (folder / "bad.json").write_text('{"a": 1')
+    (folder / "list.json").write_text('["x", "y"]')
+    (folder / "none.json").write_text('{"a": null}')
+    (folder / "good.json").write_text('[{"a": 7}]')
+    for schema in (None, "a long"):
+        schema = schema and spark.createDataFrame([], schema).schema
+        assert [r[0] for r in rows(files.load_json(spark, str(folder), schema).select("text"), "text")] == ["", "a: 7"]
+    assert {r[0].rsplit("/", 1)[1] for r in rows(files.rejected_json(spark, str(folder)).select("file_path"))} == {"bad.json", "list.json"}
