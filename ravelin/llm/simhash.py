@@ -31,6 +31,8 @@ BLOCKS = 6
 TILE = 2_048
 #: Fingerprints of a bucket that are searched in one task.
 CROWDED = 8_192
+#: How hard texts are compressed before they cross the sort.
+LEVEL = 9
 
 _SIGNS = (2 * np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64) - 1)
 
@@ -111,7 +113,7 @@ _SMALL = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("packed", pa.b
 
 def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed one by one, for the way through the sort."""
-    small = zstandard.ZstdCompressor()
+    small = zstandard.ZstdCompressor(level=LEVEL)
     for some in slices(batches):
         packed = [small.compress(t) for t in some.column("text").cast(pa.binary()).to_pylist()]
         yield arrow_batches({"doc_id": some.column("doc_id"), "tie": some.column("tie"), "packed": packed}, _SMALL)
@@ -156,9 +158,9 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     after = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, next_part int")
     firsts = along.where(F.col("place") == _FIRST).select(F.col("part").alias("next_part"), F.col("text").alias("following"))
     lasts = along.where(F.col("place") == _LAST).select("doc_id", "text", "part").join(after, "part").join(firsts, "next_part")
-    closed = lasts.select("doc_id", "text", "following").mapInArrow(_close, _OUT_SQL)
     kept = ("doc_id", "n_chars", "edited_sha256", "bits", "edited_bits", "next_bits", "node", "bands")
-    return along.where(F.col("place") == _DONE).select(*kept).unionAll(closed.select(*kept))
+    closed = stored(lasts.select("doc_id", "text", "following").mapInArrow(_close, _OUT_SQL).select(*kept), "closed")  # one row for each task
+    return along.where(F.col("place") == _DONE).select(*kept).unionAll(closed)
 
 
 def masks(bits: int = BITS, blocks: int = BLOCKS, radius: int = RADIUS) -> list[int]:
@@ -287,7 +289,7 @@ def query(spark: SparkSession, folder: str) -> DataFrame:
     A chain of documents makes a class, each within radius 3 of another or sharing SIMILAR of its distinct shingles.
     """
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    rows = stored(fingerprint_edits(docs), "prints")
+    rows = fingerprint_edits(docs)
     links = near_links(rows).unionAll(copy_links(docs, rows))
     classes = components(links).select(F.col("node").alias("bits"), F.col("root").alias("near_class"))
     like = lambda other: 1.0 - F.bit_count(F.col("bits").bitwiseXOR(F.col(other))) / F.lit(float(BITS))
