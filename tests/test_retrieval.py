@@ -16,15 +16,23 @@ def hits(spark, scores):
 
 
 def test_cutoff_keeps_input_and_drops_nulls(spark):
-    pool = hits(spark, [0.9, 0.31, 0.29, 0.1, None])
-    assert [r[0] for r in rows(pp.similarity_cutoff(pool, 0.3).select("score"), F.desc("score"))] == [0.9, 0.31]
-    assert pool.count() == 5
-
-
-def test_reorder_puts_the_best_at_the_ends(spark):
-    placed = rows(pp.long_context_reorder(hits(spark, [0.9, 0.8, 0.7, 0.6, 0.5])).select("pos", "score"), "pos")
-    assert [s for _, s in placed] == [0.9, 0.7, 0.5, 0.6, 0.8]
-    assert [p for p, _ in placed] == [1, 2, 3, 4, 5]
+    scores = [k / 16 for k in range(-3, 16)]
+    pool = hits(spark, [*scores, None])
+    for floor in (-0.1, 0.25, 0.26, 2.0):
+        kept = rows(pp.similarity_cutoff(pool, floor).select("score"), "score")
+        assert [r[0] for r in kept] == [s for s in scores if s >= floor]
+    assert pool.count() == len(scores) + 1
+
+
+@pytest.mark.parametrize("size", range(1, 11))
+def test_reorder_puts_the_best_at_the_ends(spark, size):
+    scores = [1 - k / 32 for k in range(size)]
+    placed = rows(pp.long_context_reorder(hits(spark, scores)).select("pos", "score"), "pos")
+    assert [p for p, _ in placed] == list(range(1, size + 1))
+    want = []
+    for score in reversed(scores):  # from the worst up, each goes outside of those before it, the best in front
+        want = [score, *want] if scores.index(score) % 2 == 0 else [*want, score]
+    assert [s for _, s in placed] == want
 
 
 def test_chain_refuses_a_cutoff_after_reranking(spark):
