@@ -237,16 +237,69 @@ def verified_links(rows: DataFrame, pairs: DataFrame, shared, threshold: float =
     return texts.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "role", "node").mapInArrow(_verify(shared, threshold), "a binary, b binary, similarity double")
 
 
+def upper(mark: np.ndarray) -> np.ndarray:
+    """An outline in 16 bits a slot, never below its true values (infinite beyond what 16 bits hold)."""
+    with np.errstate(over="ignore"):
+        near = mark.astype("<f2")
+        return np.where(near < mark, np.nextafter(near, np.float16(np.inf)), near).astype("<f2")
+
+
 def _bags(shared):
-    """Each text's distinct shingles (64 bits each) and their weights (32 bits each)."""
-    out = pa.schema([("node", pa.binary()), ("hashes", pa.binary()), ("weights", pa.binary())])
+    """Each text's distinct shingles (64 bits each), their weights (32 bits each), its outline and the sum of its weights."""
+    out = pa.schema([("node", pa.binary()), ("hashes", pa.binary()), ("weights", pa.binary()), ("outline", pa.binary()), ("total", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 64):
             hashes, weights, sizes = _weighted(texts_of(part), shared.value)
             spans = [(end - size, end) for end, size in zip(np.cumsum(sizes).tolist(), sizes.tolist(), strict=True)]
             bags = {"hashes": [hashes[x:y].astype("<u8").tobytes() for x, y in spans], "weights": [weights[x:y].astype("<f4").tobytes() for x, y in spans]}
-            yield arrow_batches({"node": part.column("node"), **bags}, out)
+            marks = [outline((hashes[x:y], weights[x:y])) for x, y in spans]
+            yield arrow_batches({"node": part.column("node"), **bags, "outline": [upper(m).tobytes() for m in marks], "total": [m.sum() for m in marks]}, out)
+
+    return run
+
+
+_CELL = pa.schema(
+    [("band", pa.int32()), ("key", pa.int64()), ("i", pa.int64()), ("j", pa.int64()), ("stray", pa.int32()), ("node", pa.binary()), ("root", pa.binary())]
+    + [("main", pa.bool_()), ("bands", pa.list_(pa.int64()))]
+)
+_CELL_SQL = "band int, key long, i long, j long, stray int, node binary, root binary, main boolean, bands array<long>"
+
+
+def _may_meet(threshold: float):
+    """The rows of each cell that have a partner there by their outlines: only their shingles are sent for.
+
+    What two texts share is at most the sum of the lesser of their outlines' slots, and more shared weight means more
+    similarity, so no pair that reaches the threshold is passed over. Cells come sorted, strays before members.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, strays, held, met = None, [], None, None
+        for part in slices(batches):
+            found: list[dict] = []
+            for row in part.to_pylist():
+                where = row["band"], row["key"], row["i"], row["j"]
+                if where != cell:
+                    found += [strays[k] for k in np.flatnonzero(met).tolist()] if met is not None else []
+                    cell, strays, held, met = where, [], None, None
+                if row["stray"] == 0:
+                    strays.append(row)
+                    continue
+                if not strays:
+                    continue
+                if held is None:
+                    held = np.stack([np.frombuffer(x["outline"], "<f2") for x in strays]).astype(np.float32), np.array([x["total"] for x in strays]), np.array([x["bands"] for x in strays])
+                    met = np.zeros(len(strays), dtype=bool)
+                shared = np.minimum(held[0], np.frombuffer(row["outline"], "<f2").astype(np.float32)).sum(axis=1, dtype=np.float64)
+                near = shared * (1 + threshold) >= threshold * (1 - 1e-6) * (held[1] + row["total"])
+                near &= ~(held[2][:, : row["band"]] == np.array(row["bands"])[: row["band"]]).any(axis=1)
+                partners = [k for k in np.flatnonzero(near).tolist() if strays[k]["root"] != row["root"] and (row["main"] or strays[k]["node"] < row["node"])]
+                if partners:
+                    met[partners] = True
+                    found.append(row)
+            yield arrow_batches({f.name: [x[f.name] for x in found] for f in _CELL}, _CELL)
+        if met is not None and met.any():
+            yield arrow_batches({f.name: [strays[k][f.name] for k in np.flatnonzero(met).tolist()] for f in _CELL}, _CELL)
 
     return run
 
@@ -254,8 +307,7 @@ def _bags(shared):
 def _meet(threshold: float):
     """In each cell the strays are held and the members pass by; a link comes out where two components first meet.
 
-    What two texts share is at most the sum of the lesser of their outlines' slots, so no pair that reaches the
-    threshold is passed over. Texts that share an earlier band meet there.
+    Outlines rule out most pairs as in _may_meet. Texts that share an earlier band meet there.
     """
     out = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
@@ -295,7 +347,8 @@ def stray_links(rows: DataFrame, signed: DataFrame, roots: DataFrame, shared, th
     """Links (a, b) between the roots of components that texts of one bucket join.
 
     Of each bucket with several components, the members outside the largest are strays; they meet all its members in a
-    grid of cells of bounded sides. At most one link of two components comes out of a cell. Of buckets with the same
+    grid of cells of bounded sides: first by their outlines, then those with a possible partner in a cell by their
+    shingles. At most one link of two components comes out of a cell. Of buckets with the same
     members (by number, least, greatest and sum of hashes) the one of the first band stands for all.
     """
     texts = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
@@ -310,13 +363,17 @@ def stray_links(rows: DataFrame, signed: DataFrame, roots: DataFrame, shared, th
     met = members.join(mixed.select("band", "key", "largest", *sides), ["band", "key"]).withColumn("main", F.col("root") == F.col("largest"))
     met = stored(met.join(texts.select("node", "bands"), "node"), "met")
     needs = broadcast_if_small(met.select("node", F.col("doc_id").alias("row_id")).distinct())  # two ids a row; beyond the bound by shuffle
-    bags = rows.join(needs, "node").where(F.col("doc_id").eqNullSafe(F.col("row_id"))).select("node", "text").mapInArrow(_bags(shared), "node binary, hashes binary, weights binary")
-    whole = met.join(stored(bags, "bags").dropDuplicates(["node"]), "node")
+    bags = rows.join(needs, "node").where(F.col("doc_id").eqNullSafe(F.col("row_id"))).select("node", "text").mapInArrow(_bags(shared), "node binary, hashes binary, weights binary, outline binary, total double")
+    bags = stored(bags, "bags")
+    outlined = met.join(bags.select("node", "outline", "total").dropDuplicates(["node"]), "node")
     every = lambda side: F.explode(F.sequence(F.lit(0).cast("long"), F.col(side) - 1))
-    kept = ("band", "key", "i", "j", "stray", "node", "root", "main", "bands", "hashes", "weights")
-    strays = whole.where("not main").withColumns({"i": F.pmod(spot, "is"), "j": every("js"), "stray": F.lit(0)})
-    passing = whole.withColumns({"i": every("is"), "j": F.pmod(spot, "js"), "stray": F.lit(1)})
+    strays = outlined.where("not main").withColumns({"i": F.pmod(spot, "is"), "j": every("js"), "stray": F.lit(0)})
+    passing = outlined.withColumns({"i": every("is"), "j": F.pmod(spot, "js"), "stray": F.lit(1)})
+    kept = (*_CELL.names, "outline", "total")
     cells = strays.select(*kept).unionAll(passing.select(*kept)).repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "stray")
+    left = stored(cells.mapInArrow(_may_meet(threshold), _CELL_SQL), "partners")
+    few = bags.select("node", "hashes", "weights").join(broadcast_if_small(left.select("node").distinct()), "node", "left_semi").dropDuplicates(["node"])
+    cells = left.join(few, "node").repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "stray")
     return cells.mapInArrow(_meet(threshold), "a binary, b binary")
 
 

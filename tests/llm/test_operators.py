@@ -340,6 +340,9 @@ def test_outlines_bound_what_two_texts_share(corpus):
             every = marks[a].sum() + marks[b].sum() - shared
             if every > 0:
                 assert shared / every >= near_dedup.weighted_jaccard(own[a], own[b]) - 1e-9
+    for mark in [*marks, np.array([0.0, 1e-9, 3.3, 65519.9, 1e6])]:
+        short = near_dedup.upper(mark).astype(np.float64)
+        assert (short >= mark).all() and (short[mark < 1e4] <= mark[mark < 1e4] * 1.001 + 1e-7).all()
 
 
 def test_pii(spark, corpus):
