@@ -92,10 +92,13 @@ _FIRST, _LAST, _DONE = 0, 1, 2
 _OUT_SQL = "doc_id long, part int, place int, text string, n_chars long, edited_sha256 string, bits long, edited_bits long, next_bits long, node binary, bands array<long>"
 
 
-def _finished(ids: list, texts: list[str], following: list[str], part: int) -> pa.RecordBatch:
+def _finished(ids: list, texts: list[str], following: list[str], part: int, in_turn: bool = False) -> pa.RecordBatch:
+    """Finished rows; `in_turn` tells that each text but the last is followed by the one after it, whose votes then serve both."""
     changed = [edited(t, f) for t, f in zip(texts, following, strict=True)]
     found = shingles(texts)
-    own, other, after = _voted(*found).astype(np.int64), *(fingerprints(x).astype(np.int64) for x in (changed, following))
+    own, other = _voted(*found), fingerprints(changed)
+    after = np.concatenate([own[1:], fingerprints(following[-1:])]) if in_turn else fingerprints(following)
+    own, other, after = (x.astype(np.int64) for x in (own, other, after))
     nodes = [hashlib.md5(t.encode("utf-8", "surrogatepass")).digest() for t in texts]
     n = len(texts)
     digests = [hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest() for c in changed]
@@ -131,7 +134,7 @@ def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, texts = [held[0], *ids], [held[1], *texts]
         held = ids[-1], texts[-1]
         if len(ids) > 1:
-            yield _finished(ids[:-1], texts[:-1], texts[1:], part)
+            yield _finished(ids[:-1], texts[:-1], texts[1:], part, in_turn=True)
     if held is not None:
         yield _open(*held, part, _LAST)
 
