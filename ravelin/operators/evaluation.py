@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ravelin.operators.approximate import CellIndex, probe_cells
 from ravelin.operators.ordering import exact_quantiles
-from ravelin.operators.quantization import Codes, rescored
+from ravelin.operators.quantization import Codes, quantized_topk, rescored
 from ravelin.operators.transforms import assemble_context, best_per
 from ravelin.session import checkpointed
 
@@ -80,6 +82,58 @@ def ann_sweep(hits: DataFrame, truth: DataFrame, keys: Sequence[str] = ("quantiz
     return by_config.join(F.broadcast(names), "_config").select(*keys, F.round("recall", 3).alias("recall"))
 
 
+def code_configs(
+    queries: DataFrame,
+    items: DataFrame,
+    k: int,
+    kinds: Sequence[str] = ("none", "scalar", "binary"),
+    oversamplings: Sequence[float] = (2.0,),
+    metric: str = "dot_product",
+) -> dict[str, Callable[[], DataFrame]]:
+    """Searches for `timed_sweep` by name: each kind's codes alone, and re-scored at each oversampling. Codes are stored first."""
+    out = {}
+    for kind in kinds:
+        codes = Codes(kind, items)
+        codes.table = checkpointed(codes.table)
+        out[kind] = partial(codes.topk, queries, k)
+        if kind != "none":
+            for o in oversamplings:
+                out[f"{kind} x{float(o)}"] = partial(quantized_topk, queries, items, codes, k, o, metric=metric)
+    return out
+
+
+def timed_sweep(
+    configs: Mapping[str, Callable[[], DataFrame]],
+    truth: DataFrame,
+    repeats: int = 3,
+    item_id: str = "chunk_id",
+    clock: Callable[[], float] = time.perf_counter,
+) -> DataFrame:
+    """Recall and latency of named searches, as rows (config_id, recall, latency_ms) that `best_config` takes.
+
+    Each search runs once to warm up, which also gives its hits, and then `repeats` times in full; the latency is the
+    median run divided by the questions of the truth. A search without hits has recall 0.
+    """
+    spark, log, hits = truth.sparkSession, [], None
+    asked = truth.select("query_id").distinct().count()
+    for name, run in configs.items():
+        for turn in range(repeats + 1):
+            start = clock()
+            if turn:
+                run().write.format("noop").mode("overwrite").save()
+            else:
+                first = checkpointed(run().select(F.lit(name).alias("config_id"), "query_id", item_id))
+            log.append((name, turn, clock() - start))
+        hits = first if hits is None else hits.unionByName(first)
+    spent = median_after_warmup(spark.createDataFrame(log, "series string, run int, seconds double"), 1)
+    recall = recall_at_k(hits, truth, ["config_id"], item_id)
+    return spent.withColumnRenamed("series", "config_id").join(recall, "config_id", "left").select(
+        "config_id",
+        F.round(F.coalesce("recall", F.lit(0.0)), 3).alias("recall"),
+        F.round(F.col("median_s") * 1000 / F.lit(max(asked, 1)), 6).alias("latency_ms"),
+    )
+
+
 def best_config(rows: DataFrame, target: float = 0.95) -> DataFrame:
     """The fastest configuration whose rounded recall reaches the target; an empty result when none does."""
     eligible = rows.where(F.col("recall") >= target)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import Embedder, embed
@@ -59,9 +59,9 @@ def extract_triples(chunks: DataFrame, phrases: Mapping[str, str], max_per_chunk
 
 
 def extract_triples_with(
-    chunks: DataFrame, extractor: Callable[[str], list[tuple[str, str, str]]], max_per_chunk: int = 12
+    chunks: DataFrame, extractor: Callable[[str], list[tuple[str, str, str]]], max_per_chunk: int | None = 12
 ) -> DataFrame:
-    """Triples of a user model, the first `max_per_chunk` of each chunk."""
+    """Triples of a user model, the first `max_per_chunk` of each chunk, or all if the cap is None."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -111,14 +111,35 @@ def vector_seeds(queries: DataFrame, entities: DataFrame, k: int = 4, **layout)
 
 
 def keyword_seeds(queries: DataFrame, entities: DataFrame, synonyms: DataFrame | None = None) -> DataFrame:
-    """Entities whose name equals a word of the question, or a synonym of one, in any case."""
-    names = F.regexp_extract_all(F.lower("text"), F.lit(NAME), F.lit(0))  # names may hold signs that end a word
-    words = queries.select("query_id", F.explode(F.array_distinct(F.concat(tokens(F.col("text")), names))).alias("keyword"))
+    """Entities named in the question, or meant by a synonym: names of any number of words, in any case.
+
+    Names and questions are compared as runs of letter and digit words, so "middle east" names MIDDLE_EAST. A name inside
+    a longer one found at the same place is passed over. Names without a letter or digit are never found. A question's
+    words first meet the first words of names, which tell how many words to take; those runs then meet whole names.
+    """
+    named = entities.select("name", tokens(F.col("name")).alias("_run")).where(F.size("_run") > 0)
     if synonyms is not None:
-        more = words.join(synonyms.select(F.lower("keyword").alias("keyword"), F.lower("synonym").alias("_s")), "keyword")
-        words = words.unionByName(more.select("query_id", F.col("_s").alias("keyword"))).distinct()
-    named = entities.select("name", F.lower("name").alias("keyword"))
-    return words.join(named, "keyword").select("query_id", "name").distinct()
+        meant = synonyms.select(tokens(F.col("keyword")).alias("_said"), tokens(F.col("synonym")).alias("_run"))
+        meant = meant.where(F.size("_said") > 0).distinct()
+        named = named.unionByName(meant.join(named, "_run").select("name", F.col("_said").alias("_run"))).distinct()
+    lengths = named.groupBy(F.get("_run", 0).alias("_word")).agg(F.collect_set(F.size("_run")).alias("_lengths"))
+    asked = queries.select("query_id", tokens(F.col("text")).alias("_words")).withColumn("_text", F.xxhash64("_words"))
+    words = asked.select("query_id", "_text", F.posexplode("_words").alias("_at", "_word"))
+    starts = words.join(lengths, "_word").groupBy("query_id", "_text").agg(F.collect_list(F.struct("_at", "_lengths")).alias("_starts"))
+
+    def runs_from(start: Column) -> Column:
+        at = start["_at"]
+        return F.transform(start["_lengths"], lambda n: F.struct(at.alias("_at"), n.alias("_n"), F.slice("_words", at + 1, n).alias("_run")))
+
+    # Runs are cut inside the question's row, so that its words are not copied to each of its places.
+    cut = asked.join(starts, ["query_id", "_text"]).select("query_id", "_text", F.inline(F.flatten(F.transform("_starts", runs_from))))
+    found = cut.where(F.size("_run") == F.col("_n")).join(named.select("_run").distinct(), "_run", "left_semi")
+    # Runs by start, longest first: one that ends no later than an earlier one lies inside it. A question bounds the window.
+    before = Window.partitionBy("query_id", "_text").orderBy("_at", F.desc("_n")).rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.coalesce(F.max(F.col("_at") + F.col("_n")).over(before), F.lit(0))
+    found = found.dropDuplicates(["query_id", "_text", "_at", "_n"])
+    widest = found.withColumn("_reach", reach).where(F.col("_at") + F.col("_n") > F.col("_reach"))
+    return widest.select("query_id", "_run").distinct().join(named, "_run").select("query_id", "name").distinct()
 
 
 def walk(seeds: DataFrame, edges: DataFrame, depth: int = 2) -> DataFrame:

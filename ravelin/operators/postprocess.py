@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ravelin.functions.text import tokens
 from ravelin.functions.vectors import SCORE_DIGITS
 from ravelin.operators.nearest import ranked
-from ravelin.session import broadcast_if_small, checkpointed
+from ravelin.operators.terms import TermIndex, add_terms, counts_of
+from ravelin.session import broadcast_if_small, checkpointed, shared_path
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -60,39 +61,23 @@ def rerank(hits: DataFrame, queries: DataFrame, scorer: Callable[[list[str], lis
     return keep_top(pairs.withColumn("score", pair_score("_question", "text")).drop("_question"), top_n)
 
 
-def bm25_rerank(hits: DataFrame, queries: DataFrame, corpus: DataFrame, top_n: int = 3) -> DataFrame:
+def bm25_rerank(hits: DataFrame, queries: DataFrame, corpus: DataFrame | TermIndex, top_n: int = 3) -> DataFrame:
     """Model-free reranker: BM25 of each pooled passage under corpus-wide statistics.
 
-    Document frequencies are counted only for the questions' terms; term frequencies only for pooled
-    passages. `corpus` needs (chunk_id, text).
+    `corpus` is a stored term index, or chunks (chunk_id, text) that are read once to make one in the shared folder.
+    Of the index only the frequencies of the questions' words and the rows of pooled passages are used.
     """
     hits = checkpointed(hits)  # read three times below; the search behind them runs once
-    terms = checkpointed(
-        queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    )
-    vocabulary = broadcast_if_small(terms.select("term").distinct())
-    counted = corpus.select("chunk_id", tokens(F.col("text")).alias("_tokens"))
-    totals = counted.agg(F.count("*").alias("docs"), F.avg(F.size("_tokens")).alias("length")).first()
-    docs, mean_length = totals["docs"], totals["length"] or 1.0
-    df = (
-        counted.select(F.explode(F.array_distinct("_tokens")).alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
-    )
-    idf = df.select("term", F.log(1 + (F.lit(docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
+    index = corpus if isinstance(corpus, TermIndex) else add_terms(corpus, shared_path(hits.sparkSession, "terms"))
+    terms = checkpointed(queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term")))
+    df = index.frequencies.join(broadcast_if_small(terms.select("term").distinct()), "term", "left_semi")
+    idf = df.select("term", F.log(1 + (F.lit(index.docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     weighted = terms.join(broadcast_if_small(idf), "term")
-    pooled = counted.join(broadcast_if_small(hits.select("chunk_id").distinct()), "chunk_id", "left_semi")
-    tf = (
-        pooled.select("chunk_id", F.size("_tokens").alias("length"), F.explode("_tokens").alias("term"))
-        .groupBy("chunk_id", "length", "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    damp = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.lit(mean_length))
+    damp = BM25_K1 * (1 - BM25_B + BM25_B * F.col("length") / F.lit(index.mean_length))
     scored = (
         hits.select("query_id", "chunk_id")
         .join(weighted, "query_id")
-        .join(tf, ["chunk_id", "term"])
+        .join(counts_of(index, hits), ["chunk_id", "term"])
         .groupBy("query_id", "chunk_id")
         .agg(F.sum(F.col("idf") * F.col("tf") * (BM25_K1 + 1) / (F.col("tf") + damp)).alias("_bm25"))
     )

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import embed
 from ravelin.operators.transforms import sentence_windows, word_windows
-from ravelin.session import shared_dir
+from ravelin.session import shared_path
 from ravelin.sources.tables import read_table, spread
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder beside the checkpoints, for data a plan writes and reads back."""
-    return f"{shared_dir(spark).rstrip('/')}/ravelin-{name}-{uuid.uuid4().hex}"
+    return shared_path(spark, name)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once and read back: later reads take only the columns they need."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import embed
+from ravelin.functions.text import TOKEN_BREAK
 from ravelin.operators import graph as kg
 from ravelin.plans import inputs, plan
 from ravelin.plans.sql import DOCS, embedded, nearest, tokens, windows
@@ -117,8 +118,19 @@ def list_triples(spark, d):
 
 
 INDEXED = f"{FACTS}, {EDGES}, {REGION_QUESTIONS}, {embedded('qi', 'rq', 'query_id', 'text')}, {embedded('ei', 'ent', 'name', 'name')}, {nearest('vs', 'qi', 'ei', 4, item='name')}"
-NAMES = r"regexp_extract_all(lower(text), '[\p{L}\p{N}#_]+')"
-KEYWORDS = f"""kw as (select distinct query_id, name from (select query_id, unnest(list_concat({tokens('text')}, {NAMES})) as w from rq) join ent on lower(name) = w),
+
+
+def named_sql(name: str, questions: str, dictionary: str) -> str:
+    """CTE `name`(query_id, name): runs of words equal to a run of `dictionary`(run, name) and inside no longer such run."""
+    return f"""{name}_q as (select query_id, {tokens('text')} as ws from {questions}),
+{name}_s as (select query_id, ws, n, unnest(range(1, len(ws) - n + 2)) as s from {name}_q, (select distinct len(run) as n from {dictionary}) where len(ws) >= n),
+{name}_m as (select query_id, s, s + n - 1 as e, d.name from {name}_s join {dictionary} d on d.run = ws[s : s + n - 1]),
+{name} as (select distinct query_id, name from {name}_m m
+  where not exists (select 1 from {name}_m o where o.query_id = m.query_id and o.s <= m.s and o.e >= m.e and o.e - o.s > m.e - m.s))"""
+
+
+NAMES = f"names as (select name, {tokens('name')} as run from ent where len({tokens('name')}) > 0)"
+KEYWORDS = f"""{NAMES}, {named_sql('kw', 'rq', 'names')},
 seeds as (select query_id, name from vs union select query_id, name from kw)"""
 
 
@@ -132,10 +144,9 @@ def vector_seeds(spark, d):
 @plan(
     "keyword_seeds",
     f"""{TEXT_TRIPLES}, {EDGES}, syn as (select lang as keyword, source as synonym from documents group by all),
-q as (select conv_id || '-' || turn as query_id, text from conversations where role = 'user'),
-w as (select distinct query_id, unnest(list_concat({tokens('text')}, {NAMES})) as k from q),
-kws as (select query_id, k from w union select query_id, lower(synonym) from w join syn on lower(keyword) = k)
-select distinct query_id, name from kws join ent on lower(name) = k""",
+{NAMES}, q as (select conv_id || '-' || turn as query_id, text from conversations where role = 'user'),
+dict as (select run, name from names union select {tokens('keyword')}, name from syn join names on run = {tokens('synonym')}),
+{named_sql('kws', 'q', 'dict')} select query_id, name from kws""",
 )
 def keyword_seeds(spark, d):
     """Words of every user question among the entities of the text graph; language codes stand for their sources."""
@@ -143,6 +154,22 @@ def keyword_seeds(spark, d):
     return kg.keyword_seeds(inputs.questions(spark, d), text_graph(spark, d).entities, synonyms)
 
 
+@plan(
+    "keyword_seeds_phrases",
+    f"""with ent as (select distinct trim(regexp_replace(text, '[^\\p{{L}}\\p{{N}}]+', '_', 'g'), '_') as name from benchmark),
+{NAMES}, q as (select doc_id::varchar as query_id, {tokens('text')} as ws from documents),
+pairs as (select query_id, ws, name, run from q join names on contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || array_to_string(run, ' ') || ' ')),
+m as (select query_id, name, len(run) as n, unnest(list_filter(range(1, len(ws) - len(run) + 2), lambda i: ws[i : i + len(run) - 1] = run)) as s from pairs)
+select distinct query_id, name from m where not exists
+  (select 1 from m o where o.query_id = m.query_id and o.s <= m.s and o.s + o.n >= m.s + m.n and o.n > m.n)""",
+)
+def keyword_seeds_phrases(spark, d):
+    """Names of many words: every benchmark passage, written with underscores, looked up in every document."""
+    joined = F.btrim(F.regexp_replace("text", TOKEN_BREAK, "_"), F.lit("_"))
+    names = read_table(spark, d, "benchmark").select(joined.alias("name")).distinct()
+    return kg.keyword_seeds(inputs.documents(spark, d).select(F.col("doc_id").alias("query_id"), "text"), names)
+
+
 def walk_sql(seeds: str) -> str:
     return f"""both_ways as (select src as at_, dst as to_, src, rel, dst from rel where src <> dst union all select dst, src, src, rel, dst from rel where src <> dst),
 p1 as (select s.query_id, s.name as a, e.to_ as b, src, rel, dst from {seeds} s join both_ways e on e.at_ = s.name),

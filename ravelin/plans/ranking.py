@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import embed
-from ravelin.operators import postprocess, retrieval, transforms
+from ravelin.operators import postprocess, retrieval, terms, transforms
 from ravelin.plans import inputs, plan
 from ravelin.plans.sql import (
     ASKED,
@@ -116,24 +116,40 @@ def rerank_bm25(spark, d):
     return hits_of(postprocess.bm25_rerank(pool_of(spark, d), inputs.questions(spark, d), corpus_of(spark, d), 3), "rank")
 
 
-SHARED = f"""{POOL_TEXT}, qw as (select query_id, list_distinct({tokens('text')}) as ws from questions),
-r_s as (select h.query_id, h.chunk_id, round(len(list_intersect(ws, list_distinct({tokens('h.text')}))) / greatest(len(ws), 1), 10) as score from hits h join qw using (query_id)),
-r as (select *, row_number() over (partition by query_id order by score desc, chunk_id) as rank from r_s
-  qualify row_number() over (partition by query_id order by score desc, chunk_id) <= 3)"""
+@plan("rerank_bm25_append", f"{POOL_TEXT}, {bm25('r', 'hits', 'questions', '(select doc_id as chunk_id, text from docs)', 3)} {TAKE} r")
+def rerank_bm25_append(spark, d):
+    """The same over an index stored in two parts: the documents of one language, then all others added to them."""
+    path, corpus = inputs.scratch(spark, "terms"), inputs.documents(spark, d).select(F.col("doc_id").alias("chunk_id"), "text", "modality")
+    terms.add_terms(corpus.where("modality = 'en'"), path)
+    index = terms.add_terms(corpus.where("modality <> 'en' or modality is null"), path)
+    return hits_of(postprocess.bm25_rerank(pool_of(spark, d), inputs.questions(spark, d), index, 3), "rank")
 
 
-@plan("rerank_model", f"{SHARED} {TAKE} r")
-def rerank_model(spark, d):
+def shared_words(name: str, hits: str, questions: str, top_n: int) -> str:
+    """CTE `name`: `hits`(query_id, chunk_id, text) ranked by the share of the question's words that they hold."""
+    return f"""{name}_w as (select query_id, list_distinct({tokens('text')}) as ws from {questions}),
+{name}_s as (select h.query_id, h.chunk_id, h.text, round(len(list_intersect(ws, list_distinct({tokens('h.text')}))) / greatest(len(ws), 1), 10) as score
+  from {hits} h join {name}_w using (query_id)),
+{name} as (select *, row_number() over (partition by query_id order by score desc, chunk_id) as rank from {name}_s
+  qualify row_number() over (partition by query_id order by score desc, chunk_id) <= {top_n})"""
+
+
+def word_share():
     """A stand-in pair model: the share of the question's words that the passage holds."""
 
-    def shared_words(questions: list[str], passages: list[str]) -> list[float]:
+    def shares(questions: list[str], passages: list[str]) -> list[float]:
         import regex
 
         words = lambda text: {w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
         asked = [words(q) for q in questions]
         return [round(len(a & words(p)) / max(len(a), 1), 10) for a, p in zip(asked, passages)]
 
-    return hits_of(postprocess.rerank(pool_of(spark, d), inputs.questions(spark, d), shared_words, 3), "rank")
+    return shares
+
+
+@plan("rerank_model", f"{POOL_TEXT}, {shared_words('r', 'hits', 'questions', 3)} {TAKE} r")
+def rerank_model(spark, d):
+    return hits_of(postprocess.rerank(pool_of(spark, d), inputs.questions(spark, d), word_share(), 3), "rank")
 
 
 @plan("similarity_cutoff", f"{POOL} {TAKE} pool where score >= {CUTOFF}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,11 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder beside the checkpoints, for data that is written and read back."""
+    return f"{shared_dir(spark).rstrip('/')}/ravelin-{name}-{uuid.uuid4().hex}"
+
+
 def require_local(master: str) -> None:
     """Executors of a cluster cannot see a folder of the driver's machine."""
     if not re.fullmatch(r"local(\[[^\]]*\])?", master):

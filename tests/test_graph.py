@@ -1,4 +1,6 @@
 import itertools
+import random
+import re
 
 from ravelin.functions.embedders import embed
 from ravelin.operators import graph as kg
@@ -72,3 +74,45 @@ def test_graph_retrieval_by_keyword_synonym_and_vector(spark):
     index = embed(graph.chunks)
     methods = rows(kg.graph_vs_vector(queries, graph, index, synonyms=synonyms).groupBy("method").count(), "method")
     assert [m for m, _ in methods] == ["graph", "vector"]
+
+
+def spans_by_hand(text, names):
+    """Names whose words stand in the text in a row, but for those inside a longer one."""
+    words = lambda s: [w for w in re.split(r"[\W_]+", (s or "").lower()) if w]
+    asked, spans = words(text), []
+    for name in names:
+        run = words(name)
+        spans += [(i, i + len(run), name) for i in range(len(asked) - len(run) + 1) if run and asked[i : i + len(run)] == run]
+    inside = lambda a, b: b[0] <= a[0] and a[1] <= b[1] and a[1] - a[0] < b[1] - b[0]
+    return {name for *span, name in spans if not any(inside(span, other) for other in spans)}
+
+
+def test_names_of_several_words_are_found_and_the_longest_wins(spark):
+    names = ["New York", "york", "New York City", "MIDDLE_EAST", "Item#7", "east", "##", "", "a b a", "b", "a b a b"]
+    texts = ["is new york city in York?", "the Middle-East", "item 7, item#7", "New york", None, "", "a b a b a", "## b"]
+    entities = spark.createDataFrame([(n,) for n in names], "name string")
+    queries = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "query_id string, text string")
+    got = rows(kg.keyword_seeds(queries.unionByName(queries), entities))  # repeated questions change nothing
+    assert len(got) == len(set(got))
+    assert set(got) == {(str(i), n) for i, t in enumerate(texts) for n in spans_by_hand(t, names)}
+
+
+def test_names_against_a_plain_search_of_random_words(spark):
+    draw = random.Random(3)
+    some = lambda low, high: " ".join(draw.choice("abc") for _ in range(draw.randint(low, high)))
+    names, texts = sorted({some(1, 4) for _ in range(20)}), [some(0, 12) for _ in range(60)]
+    entities = spark.createDataFrame([(n,) for n in names], "name string")
+    queries = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "query_id string, text string")
+    assert set(rows(kg.keyword_seeds(queries, entities))) == {(str(i), n) for i, t in enumerate(texts) for n in spans_by_hand(t, names)}
+
+
+def test_synonyms_of_several_words(spark):
+    entities = spark.createDataFrame([("New_York",), ("apple",)], "name string")
+    synonyms = spark.createDataFrame([("the big apple", "new york"), ("fruit", "apple")], "keyword string, synonym string")
+    queries = spark.createDataFrame([("1", "In the Big Apple"), ("2", "a fruit"), ("3", "big apple")], "query_id string, text string")
+    assert rows(kg.keyword_seeds(queries, entities, synonyms), "query_id") == [("1", "New_York"), ("2", "apple"), ("3", "apple")]
+
+
+def test_a_model_without_a_cap_keeps_all_triples(spark):
+    chunks = spark.createDataFrame([("1", "x")], "chunk_id string, text string")
+    assert kg.extract_triples_with(chunks, lambda text: [("s", "r", str(i)) for i in range(20)], None).count() == 20

@@ -1,4 +1,7 @@
 import json
+import math
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +10,8 @@ from ravelin.functions.embedders import embed
 from ravelin.operators import evaluation as ev
 from ravelin.operators import postprocess as pp
 from ravelin.operators import retrieval, tenancy, transforms
+from ravelin.operators.postprocess import bm25_rerank
+from ravelin.operators.terms import add_terms, read_terms, term_counts
 from tests.conftest import rows
 
 
@@ -146,3 +151,70 @@ def test_claims_that_cannot_be_read_are_rejected(spark):
     got = rows(claims_to_scope(claims, "i", "a", F.lit(1000)).select("n", "tenants", "rejected"), "n")
     assert [g[2] for g in got] == [None, None, "expired", "unreadable time", "not valid yet", "not valid yet", "belongs to no tenant", None]
     assert got[0][1] == ["g"]
+
+
+WORD_TEXTS = [("1", "a b a, A"), ("2", "B c"), ("3", ""), ("4", None), ("5", "!?"), ("6", "c c c d e a")]
+
+
+def test_term_counts_of_one_text(spark):
+    chunks = spark.createDataFrame(WORD_TEXTS, "chunk_id string, text string")
+    counted = chunks.select("chunk_id", term_counts(F.col("text")).alias("c")).select("chunk_id", "c.length", "c.terms")
+    got = {r["chunk_id"]: (r["length"], r["terms"] and [tuple(t) for t in r["terms"]]) for r in counted.collect()}
+    assert got.pop("4") == (None, None)
+    for key, text in WORD_TEXTS:
+        if text is not None:
+            words = re.findall("[a-z]+", text.lower())
+            assert got[key] == (len(words), sorted(Counter(words).items()))
+
+
+def bm25_by_hand(texts, question):
+    words = {key: re.findall("[a-z]+", text.lower()) for key, text in texts if text is not None}
+    mean, out = sum(map(len, words.values())) / len(words), {}
+    for key, own in words.items():
+        out[key] = 0.0
+        for term in set(question.split()):
+            df, tf = sum(term in w for w in words.values()), own.count(term)
+            out[key] += math.log(1 + (len(texts) - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(own) / mean)) if tf else 0
+    return out
+
+
+def test_term_index_in_parts_equals_one_and_refuses_known_ids(spark, tmp_path):
+    chunks = spark.createDataFrame(WORD_TEXTS, "chunk_id string, text string")
+    path = str(tmp_path / "terms")
+    with pytest.raises(ValueError):
+        read_terms(spark, path)
+    for part in ("chunk_id <= '2'", "chunk_id between '3' and '5'", "chunk_id > '5'"):
+        index = add_terms(chunks.where(part), path)
+    with pytest.raises(ValueError):
+        add_terms(chunks.where("chunk_id = '2'"), path)
+    queries = spark.createDataFrame([("q", "a c zz"), ("none", "zz")], "query_id string, text string")
+    pool = queries.crossJoin(chunks.select("chunk_id", F.col("text").alias("passage"))).select("query_id", "chunk_id", F.col("passage").alias("text"))
+    hits = pool.where("text is not null").withColumn("score", F.lit(0.5))
+    ranked = lambda corpus: rows(bm25_rerank(hits, queries, corpus, 9).select("query_id", "chunk_id", "score"), "query_id", "chunk_id")
+    got = ranked(index)
+    assert got == ranked(chunks)
+    assert {c: s for q, c, s in got if q == "q"} == pytest.approx(bm25_by_hand(WORD_TEXTS, "a c zz"), abs=1e-9)
+    assert all(s == 0 for q, _, s in got if q == "none")
+
+
+def test_term_index_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([], "chunk_id string, text string")
+    index = add_terms(none, str(tmp_path / "terms"))
+    assert index.docs == 0 and index.rows.count() == 0
+
+
+def test_timed_sweep_and_the_pick_over_its_rows(spark):
+    found = {"all": ["1", "2"], "half": ["1"], "none": [], "slow": ["1", "2"]}
+    spent = {"all": [9.0, 0.4, 0.2, 0.3], "half": [9.0, 0.1, 0.1, 0.1], "none": [9.0, 0.1, 0.1, 0.1], "slow": [1.0, 2.0, 2.0, 2.0]}
+    ticks, at = [], 0.0
+    for name in found:
+        for seconds in spent[name]:
+            ticks += [at, at + seconds]
+            at += seconds
+    clock = iter(ticks)
+    hits = lambda ids: spark.createDataFrame([("q", i) for i in ids], "query_id string, chunk_id string")
+    configs = {name: (lambda ids=ids: hits(ids)) for name, ids in found.items()}
+    swept = ev.timed_sweep(configs, hits(["1", "2"]), repeats=3, clock=lambda: next(clock))
+    assert rows(swept, "config_id") == [("all", 1.0, 300.0), ("half", 0.5, 100.0), ("none", 0.0, 100.0), ("slow", 1.0, 2000.0)]
+    assert rows(ev.best_config(swept, 0.95)) == [("all", 1.0, 300.0)]
+    assert rows(ev.best_config(swept, 0.5)) == [("half", 0.5, 100.0)]
