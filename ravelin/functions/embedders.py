@@ -54,20 +54,28 @@ class HashEmbedder:
 
 @dataclass(frozen=True)
 class ModelEmbedder:
-    """A user model: `load()` runs once per worker task and returns texts -> list of vectors."""
+    """A user model: `load()` runs once per worker task and returns texts -> list of vectors.
+
+    The model is given at most `batch` texts at a time.
+    """
 
     name: str
     dim: int
     load: Callable[[], Callable[[list[str]], list]]
+    batch: int = 128
 
     def apply(self, df: DataFrame, text: str, out: str = "embedding") -> DataFrame:
-        load = self.load
+        load, size = self.load, self.batch
+        if size < 1:
+            raise ValueError(f"a batch of {size} texts")
 
         @F.pandas_udf("array<float>")
         def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             model = load()
             for batch in batches:
-                yield pd.Series(list(model(batch.fillna("").tolist())), index=batch.index)
+                texts = batch.fillna("").tolist()
+                found = [vector for at in range(0, len(texts), size) for vector in model(texts[at : at + size])]
+                yield pd.Series(found, index=batch.index, dtype=object)
 
         return df.withColumn(out, encode(F.col(text)))
 

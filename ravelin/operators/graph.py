@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import Embedder, embed
@@ -83,6 +83,20 @@ def build_graph(triples: DataFrame, chunks: DataFrame) -> Graph:
     return Graph(ends.select("name").distinct(), chunks.select("chunk_id", "text"), relations.unionByName(mentions), triples.distinct())
 
 
+PARTS = ("entities", "chunks", "edges", "sources")
+
+
+def save_graph(graph: Graph, path: str) -> Graph:
+    """Store a graph in a folder that does not exist yet, and return it as read back."""
+    for part in PARTS:
+        getattr(graph, part).write.parquet(f"{path}/{part}")
+    return open_graph(graph.entities.sparkSession, path)
+
+
+def open_graph(spark: SparkSession, path: str) -> Graph:
+    return Graph(*(spark.read.parquet(f"{path}/{part}") for part in PARTS))
+
+
 def graph_stats(graph: Graph) -> DataFrame:
     counted = (
         graph.entities.select(F.lit("entity").alias("what"))

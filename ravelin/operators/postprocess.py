@@ -25,6 +25,12 @@ def similarity_cutoff(hits: DataFrame, cutoff: float) -> DataFrame:
     return hits.where(F.col("score") >= cutoff)
 
 
+def best_score(hits: DataFrame, queries: DataFrame) -> DataFrame:
+    """Each question's highest score; 0 where it has no hit or no score."""
+    best = hits.groupBy("query_id").agg(F.max(F.coalesce("score", F.lit(0.0))).alias("score"))
+    return queries.select("query_id").join(best, "query_id", "left").select("query_id", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def long_context_reorder(hits: DataFrame) -> DataFrame:
     """Best hits at both ends: odd ranks count in from the front, even ranks from the back (column `pos`)."""
     per_query = Window.partitionBy("query_id")

@@ -107,6 +107,21 @@ def extract_text(spark, d):
     return rows.select("doc_id", "key", "modality", "cached", "text")
 
 
+@plan(
+    "extract_pages",
+    """select page_id || '#' || (i - 1) as doc_id, i - 1 as page, parts[i] as text from
+  (select page_id, parts, unnest(range(1, len(parts) + 1)) as i from (select page_id, regexp_extract_all(html, '>([^<>]+)<', 1) as parts from pages))""",
+)
+def extract_pages(spark, d):
+    """Many documents a file: each run of text between two tags of a web page."""
+
+    def parts(path: str, content: bytes) -> list[str]:
+        return re.findall(">([^<>]+)<", content.decode())
+
+    none = spark.createDataFrame([], media.PAGE_CACHE_SCHEMA)
+    return media.extract_pages(page_files(spark, d), parts, "pdf", none).select("doc_id", "page", "text")
+
+
 @plan("count_by_modality", "select coalesce(lang, 'unknown') as modality, count(*) as n from documents group by all")
 def count_by_modality(spark, d):
     return transforms.count_by_modality(inputs.documents(spark, d))

@@ -103,6 +103,14 @@ def build_graph(spark, d):
     return text_graph(spark, d).edges
 
 
+@plan("open_graph", f"{TEXT_TRIPLES}, {EDGES} select src, rel, dst, 'relation' as kind from rel union all select src, rel, dst, 'mention' from mention")
+def open_graph(spark, d):
+    """The edges of the stored text graph, read back."""
+    path = inputs.scratch(spark, "graph")
+    kg.save_graph(text_graph(spark, d), path)
+    return kg.open_graph(spark, path).edges
+
+
 @plan(
     "graph_stats",
     f"""{TEXT_TRIPLES}, {EDGES} select (select count(*) from ent) + (select count(*) from c) as nodes,

@@ -157,6 +157,17 @@ def similarity_cutoff(spark, d):
     return hits_of(postprocess.similarity_cutoff(retrieval.topk(asked(spark, d), inputs.document_index(spark, d), 10), CUTOFF), "rank")
 
 
+@plan(
+    "best_score",
+    f"{POOL} select query_id, coalesce(round(max(score), 6), 0) as score from questions left join (select * from pool where score >= {CUTOFF}) using (query_id) group by query_id",
+)
+def best_score(spark, d):
+    """The best score above the cutoff of every user question."""
+    hits = retrieval.topk(asked(spark, d), inputs.document_index(spark, d), 10)
+    best = postprocess.best_score(postprocess.similarity_cutoff(hits, CUTOFF), inputs.questions(spark, d))
+    return best.select("query_id", F.round("score", 6).alias("score"))
+
+
 REORDERED = """select *, case when rank % 2 = 1 then (rank + 1) // 2 else n + 1 - rank // 2 end as pos
   from (select *, count(*) over (partition by query_id) as n from {0})"""
 

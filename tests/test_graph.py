@@ -116,3 +116,12 @@ def test_synonyms_of_several_words(spark):
 def test_a_model_without_a_cap_keeps_all_triples(spark):
     chunks = spark.createDataFrame([("1", "x")], "chunk_id string, text string")
     assert kg.extract_triples_with(chunks, lambda text: [("s", "r", str(i)) for i in range(20)], None).count() == 20
+
+
+def test_a_stored_graph_is_the_same_when_opened(spark, tmp_path):
+    graph, path = small(spark), str(tmp_path / "graph")
+    kg.save_graph(graph, path)
+    opened = kg.open_graph(spark, path)
+    for part in kg.PARTS:
+        assert sorted(rows(getattr(opened, part))) == sorted(rows(getattr(graph, part)))
+    assert rows(kg.graph_stats(opened)) == rows(kg.graph_stats(graph))

@@ -218,3 +218,9 @@ def test_timed_sweep_and_the_pick_over_its_rows(spark):
     assert rows(swept, "config_id") == [("all", 1.0, 300.0), ("half", 0.5, 100.0), ("none", 0.0, 100.0), ("slow", 1.0, 2000.0)]
     assert rows(ev.best_config(swept, 0.95)) == [("all", 1.0, 300.0)]
     assert rows(ev.best_config(swept, 0.5)) == [("half", 0.5, 100.0)]
+
+
+def test_best_score_of_each_question(spark):
+    found = spark.createDataFrame([("1", 0.2), ("1", 0.7), ("2", None), ("3", -0.4)], "query_id string, score double")
+    asked = spark.createDataFrame([("1",), ("2",), ("3",), ("4",)], "query_id string")
+    assert rows(pp.best_score(found, asked), "query_id") == [("1", 0.7), ("2", 0.0), ("3", -0.4), ("4", 0.0)]

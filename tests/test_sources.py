@@ -96,6 +96,25 @@ def test_media_cache(spark, tmp_path):
     assert run() == [] and run() == [] and len(list(calls.iterdir())) == 4  # failures are not cached
 
 
+def test_a_file_of_several_pages_gives_as_many_documents(spark, tmp_path):
+    for name, content in {"a.pdf": "one|two|three", "b.pdf": "x||y", "c.pdf": "", "d.pdf": "bad"}.items():
+        write(tmp_path / "m" / name, content)
+
+    def producer(path, content):
+        if content == b"bad":
+            raise RuntimeError("broken file")
+        return [text or None for text in content.decode().split("|")] if content else []
+
+    cache = str(tmp_path / "cache")
+    found = lambda: media.extract_and_remember(spark, media.media_files(spark, str(tmp_path / "m"), "pdf"), producer, "pdf", cache, pages=True)
+    shape = lambda df: rows(df.select("file_name", "page", "text", "cached"), "file_name", "page")
+    want = [("a.pdf", 0, "one"), ("a.pdf", 1, "two"), ("a.pdf", 2, "three"), ("b.pdf", 0, "x"), ("b.pdf", 2, "y")]
+    first = found()
+    assert shape(first) == [(*row, False) for row in want]
+    assert all(r["doc_id"] == f"{r['file_path']}#{r['page']}" for r in first.collect())
+    assert shape(found()) == [(*row, True) for row in want]
+
+
 def test_vector_table_guards(spark, tmp_path):
     path = str(tmp_path / "v")
     wide = spark.createDataFrame([("a", "t1", [1.0, 0.0]), ("b", "2", [0.0, 1.0])], "chunk_id string, tenant_id string, embedding array<float>")

@@ -1,3 +1,4 @@
+import pytest
 import re
 
 from hypothesis import given, settings
@@ -88,3 +89,18 @@ def test_model_embedder_loads_in_the_task_and_normalizes(spark):
 
     df = embed(spark.createDataFrame([("abc",)], "text string"), embedder=Normalized(ModelEmbedder("len", 2, load)))
     assert rows(df.select("embedding")) == [([1.0, 0.0],)]
+
+
+def test_model_embedder_hands_over_at_most_a_batch(spark):
+    def load():
+        def model(texts):
+            return [[float(len(texts)), float(text)] for text in texts]
+
+        return model
+
+    texts = spark.range(0, 10, 1, 1).selectExpr("cast(id as string) as text")
+    got = rows(embed(texts, embedder=ModelEmbedder("count", 2, load, batch=4)).select("embedding"))
+    assert [v for (v,) in got] == [[4.0 if i < 8 else 2.0, float(i)] for i in range(10)]
+    assert embed(texts.where("text > 'z'"), embedder=ModelEmbedder("count", 2, load)).count() == 0
+    with pytest.raises(ValueError):
+        embed(texts, embedder=ModelEmbedder("count", 2, load, batch=0))
