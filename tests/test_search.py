@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ravelin.operators import approximate, lists, quantization, retrieval
 from ravelin.operators.evaluation import recall_at_k
-from ravelin.operators.nearest import search
+from ravelin.operators.nearest import ITEM_BLOCK, METRICS, Vectors, best_pairs, exact_scores, first_copies, k_first, search
 from ravelin.operators.ordering import exact_quantiles, numbered
 from ravelin.operators.transforms import l2_normalize, norm_report
 from ravelin.plans import inputs
@@ -186,3 +187,50 @@ def test_lists_of_equal_vectors_stay_short(spark, tmp_path):
         assert [r[3] for r in got] == [r[3] for r in want] if metric == "cosine" else got == want
     empty = lists.build_lists(items.limit(0))
     assert lists.lists_topk(queries, empty, 5).count() == 0
+
+
+def test_a_table_searched_against_itself_in_cells(spark):
+    """Both sides come from one table, so their columns must not be mixed up."""
+    items = frame(spark, np.random.default_rng(5).normal(size=(60, 4))).withColumn("cell", (F.col("chunk_id") % 3).cast("int"))
+    queries = items.select(F.col("chunk_id").alias("query_id"), "embedding", "cell")
+    for key in (None, "cell"):
+        assert table(search(queries, items, 3, key=key, **GRID)) == table(search(queries, items, 3, key=key))
+
+
+def test_many_probes_of_a_broadcast_are_laid_out_in_cells(spark):
+    """Each task of a broadcast would emit k rows for every probe; 70,000 probes of 4 hits stay one row a hit."""
+    rng = np.random.default_rng(6)
+    items = frame(spark, rng.normal(size=(30, 2)))
+    queries = frame(spark, rng.normal(size=(70_000, 2)), "query_id")
+    hits = search(queries, items, 4)
+    assert "MapInArrow" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.count() == 280_000
+
+
+@pytest.mark.parametrize("metric", METRICS)
+@pytest.mark.parametrize("kind", ["float32", "float64", "tiny", "copies", "odd"])
+def test_rough_scores_lose_no_item(metric, kind):
+    """Whole blocks against every pair in doubles: many ties, crowds of copies, zeros and numbers that are not finite."""
+    rng = np.random.default_rng(8)
+    p, i = rng.poisson(1, (40, 9)).astype("float64"), rng.poisson(1, (2 * ITEM_BLOCK + 700, 9)).astype("float64")
+    if metric == "hamming":
+        p, i = (p > 0).astype(float), (i > 0).astype(float)
+    elif kind == "float32":
+        p, i = p.astype("float32"), i.astype("float32")
+    elif kind == "tiny":
+        p, i = p * 1e-6, i * 1e-6
+    elif kind == "copies":
+        p[0], i[:60], i[100:3000] = 0, 0, i[100]
+    elif kind == "odd":
+        i[5], i[17, 3], i[20], p[3], p[4, 1] = np.nan, np.inf, 1e200, np.nan, -np.inf
+    left, right = (Vectors(pa.chunked_array([pa.array(list(x))]), None) for x in (p, i))
+    kept = first_copies(right.rows, 10)
+    r, c, s = best_pairs(left, right, 10, metric, items=kept)
+    first = k_first(r, s, c, 10)
+    with np.errstate(all="ignore"):
+        every = exact_scores(metric, left, right, np.repeat(np.arange(40), len(i)), np.tile(np.arange(len(i)), 40)).reshape(40, -1)
+    want = []
+    for q, scores in enumerate(every):
+        there = np.flatnonzero(~np.isnan(scores))
+        want += [(q, at) for at in there[np.lexsort((there, -scores[there]))][:10].tolist()]
+    assert list(zip(r[first].tolist(), c[first].tolist())) == want
