@@ -9,13 +9,14 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ravelin.operators.nearest import ranked, search, to_matrix
+from ravelin.operators.nearest import CELL_ITEMS, CELL_PAIRS, CELL_PROBES, Vectors, best_pairs, cell_parts, k_first, places_of, ranked, search, to_matrix
 from ravelin.session import checkpointed
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -34,6 +35,8 @@ REACH = 2.45
 #: A search opens with the nearest lists that hold this many times k items, so that the k-th score is a tight bound.
 OPENING = 16
 ROUNDS = 12
+#: Queries whose distances to all centres, and to the centres of a cell's lists, are held at once.
+PROBE_ROWS, CELL_ROWS = 256, 4096
 
 
 @dataclass(frozen=True)
@@ -157,40 +160,90 @@ def save_lists(index: ListIndex, path: str) -> ListIndex:
     return replace(index, items=spark.read.parquet(f"{path}/lists"), lists=spark.read.parquet(f"{path}/centres"))
 
 
+def _far2(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return np.maximum((rows**2).sum(axis=1)[:, None] - 2 * rows @ centres.T + (centres**2).sum(axis=1), 0.0)
+
+
+def _within(far2: np.ndarray, worst: np.ndarray, radius: np.ndarray, spread: np.ndarray, dim: int, reach: float | None, cosine: bool) -> np.ndarray:
+    """Lists that may hold an item better than the k-th score `worst` (nan: none known)."""
+    limit = np.where(np.isnan(worst), np.inf, 2 - 2 * worst if cosine else worst**2)[:, None] + 1e-9
+    far = np.sqrt(far2)
+    if reach is None:
+        nearest = np.maximum(far - radius, 0.0) ** 2
+    else:
+        nearest = far2 + spread - reach * 2 * far * np.sqrt(spread / dim)
+    return nearest <= limit
+
+
 def _probe(shared, k: int, first: int, reach: float | None, cosine: bool, vec: str):
-    """Lists to read for each query: at first the nearest ones, later those that may hold an item better than the k-th."""
+    """Lists to read for each query: at first the nearest ones (`edge`: the last one's distance), later those that may hold an item better than the k-th."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists, centres, radius, spread, sizes = shared.value
-        norms = (centres**2).sum(axis=1)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = to_matrix(batch.column(vec), None)
-            rows = _unit(rows) if cosine else rows
-            far2 = np.maximum((rows**2).sum(axis=1)[:, None] - 2 * rows @ centres.T + norms, 0.0)
-            order = np.argsort(far2, axis=1, kind="stable")
-            enough = np.cumsum(sizes[order], axis=1)
-            opening = np.maximum(first, 1 + (enough < OPENING * k).sum(axis=1))
-            place = np.empty_like(order)
-            np.put_along_axis(place, order, np.broadcast_to(np.arange(len(lists)), order.shape), axis=1)
-            opened = place < opening[:, None]
-            if "worst" in batch.schema.names:
-                worst = batch.column("worst").to_numpy(zero_copy_only=False).astype(np.float64)
-                limit = np.where(np.isnan(worst), np.inf, 2 - 2 * worst if cosine else worst**2)[:, None] + 1e-9
-                far = np.sqrt(far2)
-                if reach is None:
-                    nearest = np.maximum(far - radius, 0.0) ** 2
-                else:
-                    nearest = far2 + spread - reach * 2 * far * np.sqrt(spread / centres.shape[1])
-                opened = ~opened & (nearest <= limit)
-            which, at = np.nonzero(opened)
-            ids = batch.column("query_id").take(pa.array(which))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(lists[at])], names=["query_id", "list"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, PROBE_ROWS):
+                batch = whole.slice(start, PROBE_ROWS)
+                rows = to_matrix(batch.column(vec), None)
+                rows = _unit(rows) if cosine else rows
+                far2 = _far2(rows, centres)
+                order = np.argsort(far2, axis=1, kind="stable")
+                enough = np.cumsum(sizes[order], axis=1)
+                opening = np.maximum(first, 1 + (enough < OPENING * k).sum(axis=1))
+                place = np.empty_like(order)
+                np.put_along_axis(place, order, np.broadcast_to(np.arange(len(lists)), order.shape), axis=1)
+                opened = place < opening[:, None]
+                edge = np.where(opened, far2, 0.0).max(axis=1)
+                if "worst" in batch.schema.names:
+                    worst = batch.column("worst").to_numpy(zero_copy_only=False).astype(np.float64)
+                    opened = ~opened & _within(far2, worst, radius, spread, centres.shape[1], reach, cosine)
+                which, at = np.nonzero(opened)
+                ids = batch.column("query_id").take(pa.array(which))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(lists[at]), pa.array(edge[which])], names=["query_id", "list", "edge"])
 
     return run
 
 
+def _read_lists(shared, k: int, reach: float | None, metric: str, item_id: str, vec: str):
+    """The k best of a cell's items for each of its queries, over the lists that the query must read."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        lists, centres, radius, spread, _ = shared.value
+        ids = right.column(item_id).combine_chunks()
+        order = pc.sort_indices(ids)
+        right, ids = right.take(order), ids.take(order)
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        if left.num_rows and right.num_rows:
+            queries, items, own = Vectors(left.column(vec), None), Vectors(right.column(vec), None), places_of(right.column("list"))
+            at = np.searchsorted(lists, np.array(list(own)))
+            worst, edge = (left.column(c).to_numpy().astype(np.float64) for c in ("worst", "edge"))
+            floor = np.where(np.isnan(worst), -np.inf, worst)
+            for start in range(0, left.num_rows, CELL_ROWS):
+                rows = queries.rows[start : start + CELL_ROWS].astype(np.float64)
+                span = slice(start, start + len(rows))
+                far2 = _far2(_unit(rows) if metric == "cosine" else rows, centres[at])
+                opened = far2 <= edge[span, None] * (1 + 1e-9) + 1e-12
+                opened |= _within(far2, worst[span], radius[at], spread[at], centres.shape[1], reach, metric == "cosine")
+                parts, waiting = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))], 0
+                for n, members in enumerate(own.values()):
+                    which = start + np.flatnonzero(opened[:, n])
+                    if len(which):
+                        parts.append(best_pairs(queries, items, k, metric, which, members, floor[which]))
+                        waiting += len(parts[-1][0])
+                    if waiting > 4 * k * CELL_ROWS:
+                        parts, waiting = [_best(parts, k)], 0
+                found.append(_best(parts, k))
+        r, c, s = (np.concatenate(x) for x in zip(*found))
+        return pa.table({"query_id": left.column("query_id").take(pa.array(r)), item_id: ids.take(pa.array(c)), "score": pa.array(s)})
+
+    return run
+
+
+def _best(parts: list, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    r, c, s = (np.concatenate(x) for x in zip(*parts))
+    kept = k_first(r, s, c, k)
+    return r[kept], c[kept], s[kept]
+
+
 def lists_topk(queries: DataFrame, index: ListIndex, k: int = 10, *, first: int = 2, reach: float | None = REACH, item_id: str = "chunk_id", vec: str = "embedding", **layout) -> DataFrame:
     """The k best items of each query among the lists it probes: (query_id, item, score, rank).
 
@@ -198,26 +251,66 @@ def lists_topk(queries: DataFrame, index: ListIndex, k: int = 10, *, first: int
     list is read if an item of it may beat that score. With `reach` None the bound is the triangle inequality on the
     list's radius, and the result is exact; else an item's squared distance is taken to lie at most `reach` standard
     deviations below what its list's mean square and the distance to its centre lead to expect.
-    """
-    options = {"item_id": item_id, "vec": vec, **layout}
-    opened = probed_lists(queries, index, k, first=first, reach=reach, item_id=item_id, vec=vec, **layout)
-    found = [search(p.join(queries.select("query_id", vec), "query_id"), index.items, k, index.metric, key="list", **options).drop("rank") for p in opened]
-    return ranked(found[0].unionByName(found[1]), k, ["query_id"], item_id)
-
 
-def probed_lists(queries: DataFrame, index: ListIndex, k: int = 10, *, first: int = 2, reach: float | None = REACH, item_id: str = "chunk_id", vec: str = "embedding", **layout) -> tuple[DataFrame, DataFrame]:
-    """(query_id, list) that a search opens with, and those that it reads afterwards."""
+    The rest is read in cells of whole lists and a part of the queries: a cell itself tells which of its lists a query
+    reads, so that no row stands for a query and a list.
+    """
     spark = queries.sparkSession
+    shared = _shared(index, vec)
+    if shared is None:
+        asked = queries.select("query_id", vec, F.lit(0).cast("long").alias("list"))
+        return search(asked, index.items, k, index.metric, key="list", item_id=item_id, vec=vec, **layout)
+    asked, opening, worst = _opened(queries, index, shared, k, first, item_id, vec, **layout)
+    edges = opening.groupBy("query_id").agg(F.max("edge").alias("edge"))
+    probes = checkpointed(asked.join(edges, "query_id").join(worst, "query_id", "left").join(queries.select("query_id"), "query_id"))
+    size = int(shared.value[4].sum())
+    salts, shards = cell_parts(spark, size, probes.count(), k, layout.get("cell_items", CELL_ITEMS), layout.get("cell_probes", CELL_PROBES), CELL_PAIRS // 16)
+    probes = probes.select(
+        "query_id",
+        *(F.col(c).alias(c) for c in (vec, "worst", "edge")),
+        F.pmod(F.xxhash64("query_id"), F.lit(shards)).cast("int").alias("_shard"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"),
+    )
+    items = index.items.select(
+        *(F.col(c).alias(c) for c in (item_id, vec, "list")),
+        F.pmod(F.xxhash64("list"), F.lit(salts)).cast("int").alias("_salt"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"),
+    )
+    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, `{item_id}` {index.items.schema[item_id].dataType.simpleString()}, score double"
+    read = _read_lists(shared, k, reach, index.metric, item_id, vec)
+    found = probes.groupBy("_shard", "_salt").cogroup(items.groupBy("_shard", "_salt")).applyInArrow(read, schema)
+    return ranked(found, k, ["query_id"], item_id)
+
+
+def _shared(index: ListIndex, vec: str):
+    """(list, centre, radius, spread, size) of all lists, in the order of their numbers; None if there are none."""
     table = index.lists.orderBy("list").toPandas()  # CENTRE_BYTES of centres, and parts of full lists
-    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, list long"
     if not len(table):
-        none = spark.createDataFrame([], schema)
-        return none, none
+        return None
     centres = np.array(table[vec].tolist(), dtype=np.float64)
-    shared = spark.sparkContext.broadcast((table["list"].to_numpy(), centres, table["radius"].to_numpy(), table["spread"].to_numpy(), table["n"].to_numpy()))
+    facts = (table["list"].to_numpy(), centres, table["radius"].to_numpy(), table["spread"].to_numpy(), table["n"].to_numpy())
+    return index.lists.sparkSession.sparkContext.broadcast(facts)
+
+
+def _lists_of(rows: DataFrame, shared, k: int, first: int, reach: float | None, cosine: bool, vec: str) -> DataFrame:
+    kind = rows.schema["query_id"].dataType.simpleString()
+    return checkpointed(rows.mapInArrow(_probe(shared, k, first, reach, cosine, vec), f"query_id {kind}, list long, edge double"))
+
+
+def _opened(queries: DataFrame, index: ListIndex, shared, k: int, first: int, item_id: str, vec: str, **layout) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The queries with a vector, the lists that they open with, and the k-th score found in those."""
     asked = queries.select("query_id", vec).where(F.col(vec).isNotNull())
-    probe = lambda rows: checkpointed(rows.mapInArrow(_probe(shared, k, first, reach, index.metric == "cosine", vec), schema))
-    opening = probe(asked)
+    opening = _lists_of(asked, shared, k, first, None, index.metric == "cosine", vec)
     hits = search(opening.join(asked, "query_id"), index.items, k, index.metric, key="list", item_id=item_id, vec=vec, **layout)
-    worst = hits.where(F.col("rank") == k).select("query_id", F.col("score").alias("worst"))
-    return opening, probe(asked.join(worst, "query_id", "left").select("query_id", vec, "worst"))
+    return asked, opening, hits.where(F.col("rank") == k).select("query_id", F.col("score").alias("worst"))
+
+
+def probed_lists(queries: DataFrame, index: ListIndex, k: int = 10, *, first: int = 2, reach: float | None = REACH, item_id: str = "chunk_id", vec: str = "embedding", **layout) -> tuple[DataFrame, DataFrame]:
+    """(query_id, list) that a search opens with, and those that it reads afterwards."""
+    shared = _shared(index, vec)
+    if shared is None:
+        none = queries.sparkSession.createDataFrame([], f"query_id {queries.schema['query_id'].dataType.simpleString()}, list long")
+        return none, none
+    asked, opening, worst = _opened(queries, index, shared, k, first, item_id, vec, **layout)
+    rest = asked.join(worst, "query_id", "left").select("query_id", vec, "worst")
+    return opening.drop("edge"), _lists_of(rest, shared, k, first, reach, index.metric == "cosine", vec).drop("edge")

@@ -234,3 +234,30 @@ def test_rough_scores_lose_no_item(metric, kind):
         there = np.flatnonzero(~np.isnan(scores))
         want += [(q, at) for at in there[np.lexsort((there, -scores[there]))][:10].tolist()]
     assert list(zip(r[first].tolist(), c[first].tolist())) == want
+
+
+def test_list_search_makes_no_row_for_each_query_and_list(spark, monkeypatch):
+    items = frame(spark, np.random.default_rng(9).normal(size=(400, 6)))
+    queries = inputs.as_queries(items)
+    index = lists.build_lists(items, lists=40)
+    stored = []
+
+    def counted(df, keep=lists.checkpointed):
+        out = keep(df)
+        stored.append((set(out.columns) >= {"query_id", "list"}, out.count()))
+        return out
+
+    monkeypatch.setattr(lists, "checkpointed", counted)
+    hits = lists.lists_topk(queries, index, 2, reach=None)
+    assert max(n for pairs, n in stored if pairs) < 400 * 8
+    assert table(hits) == table(search(queries, items, 2))
+
+
+def test_lists_are_probed_for_few_queries_at_a_time(spark):
+    from types import SimpleNamespace
+
+    centres = np.random.default_rng(10).normal(size=(30, 4))
+    shared = SimpleNamespace(value=(np.arange(30), centres, np.ones(30), np.ones(30), np.full(30, 5)))
+    batch = pa.RecordBatch.from_pydict({"query_id": list(range(2000)), "embedding": np.random.default_rng(11).normal(size=(2000, 4)).tolist()})
+    out = list(lists._probe(shared, 3, 2, None, False, "embedding")(iter([batch])))
+    assert len(out) == -(-2000 // lists.PROBE_ROWS) and {q for b in out for q in b.column(0).to_pylist()} == set(range(2000))
