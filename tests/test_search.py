@@ -261,3 +261,18 @@ def test_lists_are_probed_for_few_queries_at_a_time(spark):
     batch = pa.RecordBatch.from_pydict({"query_id": list(range(2000)), "embedding": np.random.default_rng(11).normal(size=(2000, 4)).tolist()})
     out = list(lists._probe(shared, 3, 2, None, False, "embedding")(iter([batch])))
     assert len(out) == -(-2000 // lists.PROBE_ROWS) and {q for b in out for q in b.column(0).to_pylist()} == set(range(2000))
+
+
+def test_a_sweep_scores_the_pairs_of_a_kind_once(spark, monkeypatch):
+    from ravelin.operators import evaluation
+
+    items, calls = frame(spark, np.random.default_rng(12).normal(size=(50, 8))), []
+    score = quantization.vectors.score
+    monkeypatch.setattr(quantization.vectors, "score", lambda *a: calls.append(a[0]) or score(*a))
+    queries = inputs.as_queries(items)
+    hits = evaluation.config_hits(queries, items, 3, ("binary",), (1.0, 2.0, 4.0))
+    assert len(calls) == 1
+    codes = quantization.Codes("binary", items)
+    for o in (1.0, 2.0, 4.0):
+        want = quantization.quantized_topk(queries, items, codes, 3, o)
+        assert rows(hits.where(F.col("oversampling") == o).select("query_id", "chunk_id"), "query_id", "chunk_id") == rows(want.select("query_id", "chunk_id"), "query_id", "chunk_id")
