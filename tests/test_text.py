@@ -104,3 +104,22 @@ def test_model_embedder_hands_over_at_most_a_batch(spark):
     assert embed(texts.where("text > 'z'"), embedder=ModelEmbedder("count", 2, load)).count() == 0
     with pytest.raises(ValueError):
         embed(texts, embedder=ModelEmbedder("count", 2, load, batch=0))
+
+
+def test_hash_embedder_counts_words_by_batch(spark):
+    """Words are counted for many texts at once, not bucket by bucket in every row; the vectors are those of single words."""
+    import hashlib
+    import math
+
+    import numpy as np
+
+    texts = ["a b a", "...", "", None, " Ünï, ΣΑΣ½x!", "no 1 no 2 no"] + [f"w{i} w{i % 7}" for i in range(5000)]
+    words = [["a", "b", "a"], [], [], [], ["ünï", "σας½x"], ["no", "1", "no", "2", "no"]] + [[f"w{i}", f"w{i % 7}"] for i in range(5000)]
+    df = embed(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), embedder=HashEmbedder(16))
+    assert "ArrowEvalPython" in df._jdf.queryExecution().executedPlan().toString()
+    for (vector,), own in zip(rows(df.select("embedding", "id").orderBy("id").select("embedding")), words, strict=True):
+        counts = [0] * 16
+        for word in own:
+            counts[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 16] += 1
+        length = math.sqrt(sum(c * c for c in counts)) or 1.0
+        assert vector == [float(np.float32(c / length)) for c in counts]
