@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ravelin.operators import approximate, lists, quantization, retrieval
 from ravelin.operators.evaluation import recall_at_k
-from ravelin.operators.nearest import ITEM_BLOCK, METRICS, Vectors, best_pairs, exact_scores, first_copies, k_first, search
+from ravelin.operators import nearest
+from ravelin.operators.nearest import ITEM_BLOCK, METRICS, TASK_PAIRS, Vectors, best_pairs, cell_parts, exact_scores, first_copies, k_first, search
 from ravelin.operators.ordering import exact_quantiles, numbered
 from ravelin.operators.transforms import l2_normalize, norm_report
 from ravelin.plans import inputs
@@ -236,6 +237,22 @@ def test_rough_scores_lose_no_item(metric, kind):
     assert list(zip(r[first].tolist(), c[first].tolist())) == want
 
 
+def test_a_cell_scores_a_bounded_number_of_pairs(spark):
+    """However large the tables; and tables of one size smaller are laid out as before."""
+    for rows_, k, metrics in ((615_384, 4, 3), (615_384, 11, 1), (3_000_000, 10, 1)):
+        salts, shards = cell_parts(spark, rows_, rows_, k, task_pairs=TASK_PAIRS / metrics)
+        assert rows_ * rows_ / (salts * shards) * metrics <= 1.1 * TASK_PAIRS
+    assert cell_parts(spark, 10_000, 10_000, 4, task_pairs=TASK_PAIRS) == cell_parts(spark, 10_000, 10_000, 4) == (1, 1)
+
+
+def test_small_cells_are_not_gathered_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "TASK_PAIRS", 60 * 60 / 16)
+    items = frame(spark, np.random.default_rng(11).normal(size=(60, 4)))
+    hits = search(inputs.as_queries(items), items, 3, max_broadcast_bytes=0)
+    assert "REPARTITION_BY_NUM" in hits._jdf.queryExecution().executedPlan().toString()
+    assert table(hits) == table(search(inputs.as_queries(items), items, 3))
+
+
 def test_list_search_makes_no_row_for_each_query_and_list(spark, monkeypatch):
     items = frame(spark, np.random.default_rng(9).normal(size=(400, 6)))
     queries = inputs.as_queries(items)
