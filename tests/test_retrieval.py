@@ -220,6 +220,20 @@ def test_timed_sweep_and_the_pick_over_its_rows(spark):
     assert rows(ev.best_config(swept, 0.5)) == [("half", 0.5, 100.0)]
 
 
+def test_timed_sweep_searches_the_truth_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    pairs = spark.createDataFrame([("q", "1"), ("q", "2")], "query_id string, chunk_id string")
+    swept = ev.timed_sweep({"all": lambda: pairs}, pairs.mapInArrow(counted, pairs.schema), repeats=1)
+    assert [r[:2] for r in rows(swept)] == [("all", 1.0)]
+    assert seen.value == 2
+
+
 def test_best_score_of_each_question(spark):
     found = spark.createDataFrame([("1", 0.2), ("1", 0.7), ("2", None), ("3", -0.4)], "query_id string, score double")
     asked = spark.createDataFrame([("1",), ("2",), ("3",), ("4",)], "query_id string")

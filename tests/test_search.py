@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ravelin.operators import approximate, lists, quantization, retrieval
 from ravelin.operators.evaluation import recall_at_k
 from ravelin.operators import nearest
-from ravelin.operators.nearest import ITEM_BLOCK, METRICS, TASK_PAIRS, Vectors, best_pairs, cell_parts, exact_scores, first_copies, k_first, search
+from ravelin.operators.nearest import BIT_ITEMS, ITEM_BLOCK, METRICS, TASK_PAIRS, Vectors, as_words, best_pairs, cell_parts, exact_scores, first_copies, k_first, search
 from ravelin.operators.ordering import exact_quantiles, numbered
 from ravelin.operators.transforms import l2_normalize, norm_report
 from ravelin.plans import inputs
@@ -253,6 +253,43 @@ def test_small_cells_are_not_gathered_in_one_task(spark, monkeypatch):
     assert table(hits) == table(search(inputs.as_queries(items), items, 3))
 
 
+@pytest.mark.parametrize("words", [1, 2, 5])
+def test_packed_bits_give_the_hits_of_unpacked_ones(words):
+    """Both ways, with ties everywhere, equal codes and rows cut to any length."""
+    rng = np.random.default_rng(12)
+    dim = 64 * words - 7
+    near = rng.random((4, dim)) < 0.5
+    bits = [near[rng.integers(0, 4, n)] ^ (rng.random((n, dim)) < 0.1) for n in (300, 2 * BIT_ITEMS + 300)]
+    bits[1][40:90] = bits[1][40]
+    packed = []
+    for side in bits:
+        octets = np.zeros((len(side), 8 * words), np.uint8)
+        octets[:, : (dim + 7) // 8] = np.packbits(side, axis=1, bitorder="little")
+        packed.append(pa.chunked_array([pa.array(list(octets.view("<i8")))]))
+    for rows_, items in ((None, None), (np.arange(3, 290, 7), np.arange(5, 2000, 3)), (None, np.arange(4))):
+        for k in (1, 10):
+            found = []
+            for decode in (quantization.binary_decoder(dim), as_words):
+                left, right = (Vectors(x, decode) for x in packed)
+                r, c, s = best_pairs(left, right, k, "hamming", rows_, items)
+                first = k_first(r, s, c, k)
+                found.append(list(zip(r[first].tolist(), c[first].tolist(), s[first].tolist())))
+            assert found[0] == found[1] and found[0]
+
+
+def test_binary_codes_are_searched_packed(spark):
+    """Also where a vector's length fills no whole word."""
+    rng = np.random.default_rng(13)
+    items = frame(spark, rng.normal(size=(50, 70)))
+    found = table(quantization.Codes("binary", items).topk(inputs.as_queries(items), 5))
+    signs = np.array([r[0] for r in rows(items.orderBy("chunk_id").select("embedding"))]) > 0
+    want = []
+    for q in range(50):
+        far = (signs != signs[q]).sum(axis=1)
+        want += [(q, place + 1, int(at), -float(far[at])) for place, at in enumerate(np.lexsort((np.arange(50), far))[:5])]
+    assert found == want
+
+
 def test_list_search_makes_no_row_for_each_query_and_list(spark, monkeypatch):
     items = frame(spark, np.random.default_rng(9).normal(size=(400, 6)))
     queries = inputs.as_queries(items)
