@@ -100,8 +100,10 @@ def sync_table(
     if moved.isEmpty() and exists:
         return diff
     fresh = current.join(broadcast_if_small(moved.where("status != 'deleted'").select("doc_id")), "doc_id", "left_semi")
-    chunks = embed(chunker(fresh.select("doc_id", "tenant_id", "text"), size, overlap), embedder=embedder)
-    added = chunks.join(fresh.select("doc_id", "content_hash"), "doc_id").select("chunk_id", "doc_id", "tenant_id", "text", "embedding", "content_hash")
+    chunks = embed(chunker(fresh, size, overlap), embedder=embedder)
+    if "content_hash" not in chunks.columns:  # the hash travels with the chunks unless the chunker drops it
+        chunks = chunks.join(fresh.select("doc_id", "content_hash"), "doc_id")
+    added = chunks.select("chunk_id", "doc_id", "tenant_id", "text", "embedding", "content_hash")
     if not exists:
         vector_table.write_vectors(added, path, dim, multitenant=multitenant)
         return diff
