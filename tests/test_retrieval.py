@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ravelin.functions.embedders import embed
 from ravelin.operators import evaluation as ev
+from ravelin.operators import membership
 from ravelin.operators import postprocess as pp
 from ravelin.operators import retrieval, tenancy, transforms
 from ravelin.operators.postprocess import bm25_rerank
@@ -61,6 +62,25 @@ def test_window_replace_keeps_text_without_window(spark):
     assert got == [("c0", "wide"), ("c1", "text 1")]
 
 
+def test_windows_and_texts_of_other_chunks_are_sifted_out(spark, monkeypatch):
+    """What an exact join shuffles follows the hits where they are too many to be broadcast."""
+    monkeypatch.setattr(membership, "BROADCAST_ROWS", 0)
+    found = hits(spark, [0.9, 0.8]).withColumn("chunk_id", F.concat("chunk_id", F.lit("#0")))
+    ids = spark.range(20_000).select(F.concat(F.lit("c"), F.col("id").cast("string"), F.lit("#0")).alias("chunk_id"))
+    windows = ids.where("chunk_id <> 'c1#0'").select("chunk_id", F.concat(F.lit("wide "), "chunk_id").alias("window")).unionByName(
+        spark.createDataFrame([(None, "none")], "chunk_id string, window string")
+    )
+    kept = membership.sifted(windows, found.select("chunk_id"), "chunk_id")
+    assert {"c0#0"} <= {r[0] for r in rows(kept.select("chunk_id"))} and kept.count() < 2_000
+    assert membership.sifted(windows.select(F.lit(1).alias("chunk_id")), spark.range(5).withColumnRenamed("id", "chunk_id"), "chunk_id").count() == 20_000
+    swapped = pp.window_replace(found, windows)
+    assert rows(swapped.select("chunk_id", "text"), "chunk_id") == [("c0#0", "wide c0#0"), ("c1#0", "text 1")]
+    assert "ArrowEvalPython" in swapped._jdf.queryExecution().executedPlan().toString()
+    texted = transforms.with_text(found.drop("text"), windows.withColumnRenamed("window", "text"))
+    assert rows(texted.select("chunk_id", "text", "score")) == [("c0#0", "wide c0#0", 0.9)]
+    assert "ArrowEvalPython" in texted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fusion_by_hand(spark):
     lists = spark.createDataFrame([("q", 0, "a", 1), ("q", 0, "b", 2), ("q", 1, "b", 1), ("q", 1, "c", 2)], "query_id string, variant int, chunk_id string, rank int")
     got = rows(retrieval.fuse_rrf(lists, 2).select("chunk_id", "score"), F.desc("score"))

@@ -253,6 +253,43 @@ def test_small_cells_are_not_gathered_in_one_task(spark, monkeypatch):
     assert table(hits) == table(search(inputs.as_queries(items), items, 3))
 
 
+def test_far_more_items_than_probes_stay_where_they_lie(spark, monkeypatch):
+    """More probes than one broadcast takes are no reason to shuffle the items."""
+    rng = np.random.default_rng(14)
+    items, queries = frame(spark, rng.normal(size=(3000, 4)).round(1)), frame(spark, rng.normal(size=(30, 4)).round(1), "query_id")
+    want = table(search(queries, items, 1))
+    monkeypatch.setattr(nearest, "BROADCAST_HITS", 10)
+    hits = search(queries, items, 1)
+    assert "CoGroups" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert table(hits) == want
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_passes_equal_the_other_layouts(spark, monkeypatch, stored):
+    rng = np.random.default_rng(15)
+    items = rng.normal(size=(90, 4)).round(1)
+    items[20:50] = items[3]
+    items, queries = frame(spark, items), frame(spark, rng.normal(size=(12, 4)).round(1), "query_id")
+    queries = queries.unionByName(queries.where("query_id < 4"))  # a question that comes twice is one group
+    for metric in ("cosine", ["euclidean", "dot_product"]):
+        want = table(search(queries, items, 5, metric), *(["metric"] if len(metric) == 2 else []), "query_id", "rank", "chunk_id", "score")
+        with monkeypatch.context() as m:
+            m.setattr(nearest, "BROADCAST_HITS", 10)
+            m.setattr(nearest, "pass_parts", lambda *a: (5, 2, stored))
+            hits = search(queries, items, 5, metric)
+        assert sorted(want) == sorted(table(hits, *(["metric"] if len(metric) == 2 else []), "query_id", "rank", "chunk_id", "score"))
+
+
+def test_rows_that_a_large_search_moves():
+    """Sentences (180 million, 800,000 questions) and documents are scanned in passes of bounded size; small tables of one size meet in cells."""
+    passes, tasks, stored = nearest.pass_parts(180_000_000, 810_000, 2, 576, 12, 2457, 14)
+    assert 810_000 * 576 / passes <= 2 * nearest.BROADCAST_BYTES and tasks <= 48 and not stored
+    passes, tasks, stored = nearest.pass_parts(3_000_000, 810_000, 10, 576, 12, 31, 18)
+    assert 810_000 * 10 / passes <= nearest.CELL_HITS and tasks <= 48 and stored
+    assert nearest.pass_parts(51_282, 51_282, 10, 576, 8, 3, 7) is None
+    assert nearest.pass_parts(180_000_000, 810_000, 2, 576, 12, 2457, 14, max_bytes=0) is None
+
+
 @pytest.mark.parametrize("words", [1, 2, 5])
 def test_packed_bits_give_the_hits_of_unpacked_ones(words):
     """Both ways, with ties everywhere, equal codes and rows cut to any length."""
