@@ -81,6 +81,22 @@ def test_windows_and_texts_of_other_chunks_are_sifted_out(spark, monkeypatch):
     assert "ArrowEvalPython" in texted._jdf.queryExecution().executedPlan().toString()
 
 
+def test_compared_chains_store_no_texts(spark, monkeypatch):
+    """A chunk id that comes twice gives both of its texts in every chain, as hits that carry them do."""
+    texts = spark.createDataFrame([("a", "one"), ("a", "two"), ("b", "three"), ("c", None)], "chunk_id string, text string")
+    found = spark.createDataFrame([("q", "a", 0.9), ("q", "b", 0.5), ("q", "c", 0.1), ("r", "c", 0.7)], "query_id string, chunk_id string, score double")
+    pool = transforms.with_text(found, texts)
+    wide = spark.createDataFrame([("q", "s", "small", 0.3)], "query_id string, chunk_id string, text string, score double")
+    windows = spark.createDataFrame([("s", "wide")], "chunk_id string, window string")
+    halved, stored = lambda h: h.withColumn("score", F.col("score") / 2), []
+    want = rows(pp.compare_chains(pool, wide, windows, halved, 0.3).select("chain", "query_id", "chunk_id", "score", "text"))
+    monkeypatch.setattr(pp, "checkpointed", lambda df, keep=pp.checkpointed: stored.append(df.columns) or keep(df))
+    got = pp.compare_chains(pool, wide, windows, halved, 0.3, texts)
+    assert len(stored) == 2 and not any("text" in names for names in stored)
+    assert Counter(want) == Counter(rows(got.select("chain", "query_id", "chunk_id", "score", "text")))
+    assert rows(got.where("chain = 'k=10' and query_id = 'q'").select("pos"), "pos") == [(1,), (2,), (3,), (4,)]
+
+
 def test_fusion_by_hand(spark):
     lists = spark.createDataFrame([("q", 0, "a", 1), ("q", 0, "b", 2), ("q", 1, "b", 1), ("q", 1, "c", 2)], "query_id string, variant int, chunk_id string, rank int")
     got = rows(retrieval.fuse_rrf(lists, 2).select("chunk_id", "score"), F.desc("score"))
