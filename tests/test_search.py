@@ -281,12 +281,13 @@ def test_passes_equal_the_other_layouts(spark, monkeypatch, stored):
 
 
 def test_rows_that_a_large_search_moves():
-    """Sentences (180 million, 800,000 questions) and documents are scanned in passes of bounded size; small tables of one size meet in cells."""
+    """Sentences (180 million, 800,000 questions) and documents are scanned in passes of bounded size; tables of one size meet in cells."""
     passes, tasks, stored = nearest.pass_parts(180_000_000, 810_000, 2, 576, 12, 2457, 14)
     assert 810_000 * 576 / passes <= 2 * nearest.BROADCAST_BYTES and tasks <= 48 and not stored
     passes, tasks, stored = nearest.pass_parts(3_000_000, 810_000, 10, 576, 12, 31, 18)
     assert 810_000 * 10 / passes <= nearest.CELL_HITS and tasks <= 48 and stored
     assert nearest.pass_parts(51_282, 51_282, 10, 576, 8, 3, 7) is None
+    assert nearest.pass_parts(615_384, 615_384, 10, 576, 12, 6, 15) is None
     assert nearest.pass_parts(180_000_000, 810_000, 2, 576, 12, 2457, 14, max_bytes=0) is None
 
 
@@ -314,6 +315,34 @@ def test_packed_bits_give_the_hits_of_unpacked_ones(words):
             assert found[0] == found[1] and found[0]
 
 
+def test_later_blocks_start_from_the_best_hits_so_far(monkeypatch):
+    """Nothing of a block is scored in doubles where the blocks before it hold better hits."""
+    rng = np.random.default_rng(16)
+    side = lambda name, first, x: pa.table({name: np.arange(first, first + len(x)), "embedding": pa.array(x.tolist(), pa.list_(pa.float64()))})
+    near = rng.normal(size=(60, 6)) + 5
+    hits = [nearest.Hits(nearest.Probes(side("query_id", 0, near[:20]), ["query_id"], None, "embedding", None), 5, "dot_product")]
+    offer = lambda *a: nearest.offer_table(hits, side("chunk_id", *a), None, "chunk_id", "embedding", None)
+    offer(100, near)
+    want, scored, score = hits[0].result("chunk_id"), [], nearest.exact_scores
+    monkeypatch.setattr(nearest, "exact_scores", lambda m, p, i, r, c: scored.append(len(r)) or score(m, p, i, r, c))
+    offer(1000, near / 100)
+    assert sum(scored) == 0 and hits[0].result("chunk_id").equals(want)
+    offer(0, near)  # the same scores under smaller ids
+    first = want.column("chunk_id").to_numpy().reshape(20, 5)
+    again = hits[0].result("chunk_id").column("chunk_id").to_numpy().reshape(20, 5)
+    assert (again == np.stack([first[:, 0] - 100, first[:, 0], first[:, 1] - 100, first[:, 1], first[:, 2] - 100], axis=1)).all()
+
+
+def test_bits_in_hand_are_few():
+    """The differing bits of a strip stay in a core's cache, whatever else the core's other thread holds there."""
+    rng = np.random.default_rng(17)
+    assert nearest.BIT_STRIP * BIT_ITEMS * 8 <= 1 << 19
+    for words in (1, 3, 4):
+        left, right = (rng.integers(0, 1 << 63, shape, dtype=np.uint64) for shape in ((37, words), (words, 90)))
+        far = nearest.bit_distances(left, right, np.empty((40, 100), np.uint8 if words <= 3 else np.uint32), np.empty((nearest.BIT_STRIP, 100), np.uint64))
+        assert (far == np.bitwise_count(left[:, :, None] ^ right[None]).sum(axis=1)).all()
+
+
 def test_binary_codes_are_searched_packed(spark):
     """Also where a vector's length fills no whole word."""
     rng = np.random.default_rng(13)
